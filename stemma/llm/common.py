@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +50,22 @@ def fold(doc_id: Column, parts: int) -> Column:
 def let(value: Column, body) -> Column:
     """body(value) with value computed once for a row, also where body uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]
+
+
+def map_texts(docs: DataFrame, work: Callable[[], Callable[[list], dict]], schema: str) -> DataFrame:
+    """doc_id as it is and, for each row, what work()'s function makes of the texts of a batch: lists by column name.
+    Arrow batches, so that a null id doesn't turn the others into floating-point numbers."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    kind = _parse_datatype_string("doc_id bigint, " + schema)
+    assert isinstance(kind, StructType)
+    fields = to_arrow_schema(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = work()
+        for b in batches:
+            got = f(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(got[x.name], x.type) for x in fields if x.name != "doc_id"]], schema=fields)
+
+    return pick(docs, doc_id="bigint", text="string").mapInArrow(run, kind)

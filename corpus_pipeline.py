@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import quality_classifier, toxicity
+from stemma.llm import packing, quality_classifier, secret_scan, simhash_dedup, toxicity
 from stemma.llm.common import scratch, table
 
+#: Each takes (spark, docs, sf_dir). All but the last return the columns of docs: documents that the classifiers reject
+#: go, one document of each group of near copies stays, secrets are masked; the last returns the packed pieces.
 STAGES = [
     ("quality", quality_classifier.keep_good),
     ("toxicity", toxicity.drop_toxic),
+    ("near_duplicates", simhash_dedup.keep_first),
+    ("secrets", secret_scan.redact),
+    ("packing", packing.pack_stage),
 ]
 
 #: Learned models and hashing decide which rows stay; SQL can't express these stages (tests hold them against plain Python).

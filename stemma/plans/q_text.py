@@ -281,7 +281,7 @@ def _kind_sql(x: str) -> str:
 
 
 #: Page texts hold no section words of their own; every fifth line of a page gets one.
-_MARKS = ["Demo: ", "Bonus ", "", "Inhalt", "Vollversionen: "]
+_MARKS = ["Demo: ", "Bonus ", "", "Inhalt ", "Vollversionen: "]
 
 
 @query(f"""

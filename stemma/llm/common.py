@@ -52,6 +52,33 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_caches: list = []
+
+
+def kept(cache):
+    """Registers a cache (anything with clear()) of a Python worker."""
+    _caches.append(cache)
+    return cache
+
+
+def only(cache) -> None:
+    """Empties the other operators' caches: workers are used again by later stages, and their memory adds up."""
+    for c in _caches:
+        if c is not cache:
+            c.clear()
+
+
+#: Rows that reach a Python worker at once; a batch of Spark's default size can hold a gigabyte of long texts.
+BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's batch size for Python workers, unless the user has set one."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) == 10_000:
+        spark.conf.set(key, str(BATCH))
+
+
 def map_texts(docs: DataFrame, work: Callable[[], Callable[[list], dict]], schema: str) -> DataFrame:
     """doc_id as it is and, for each row, what work()'s function makes of the texts of a batch: lists by column name.
     Arrow batches, so that a null id doesn't turn the others into floating-point numbers."""
@@ -62,6 +89,8 @@ def map_texts(docs: DataFrame, work: Callable[[], Callable[[list], dict]], schem
     assert isinstance(kind, StructType)
     fields = to_arrow_schema(kind)
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = work()
         for b in batches:

@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, pick, table
+from .common import kept, map_texts, only, pick, table
 
 LIMIT = 1024
 END = 0
 GROUP = 2048
-CACHE = 500_000
+CACHE = 900_000
+#: How byte-level vocabularies write a space, and how many parts are encoded as one text.
+SPACE, RUN = "Ġ", 512
 CUTS = re.compile(r"(?<=\S) (?=\S)")
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -69,17 +71,39 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.clear()
+
+        spaced = [k for t, k in self.tokenizer.get_vocab().items() if t.startswith(SPACE)]
+        self.opens = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)  # tokens that begin with a space
+        self.opens[spaced] = True
+
+    def clear(self) -> None:
         self.first: dict[str, bytes] = {}  # of what stands before the first space
         self.later: dict[str, bytes] = {}  # of a space with what follows it
 
     def ids(self, strings: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(strings, add_special_tokens=False)]
 
+    def spaced_ids(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part with a space before it. Many parts are encoded as one text; as no part holds a space, each
+        begins at a token that begins with one."""
+        out = []
+        for k in range(0, len(parts), RUN):
+            some = parts[k : k + RUN]
+            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(some):
+                out += self.ids([" " + x for x in some])  # an unusual vocabulary
+                continue
+            raw, at = ids.tobytes(), (4 * starts).tolist()
+            out += [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=True)]
+        return out
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
         for at in range(0, len(texts), 256):
             if len(self.first) + len(self.later) > CACHE:
-                self.first, self.later = {}, {}
+                self.clear()
             first, later, split, odd = self.first, self.later, {}, []
             heads, tails = set(), set()
             for k in range(at, min(at + 256, len(texts))):
@@ -93,7 +117,7 @@ class Tokens:
                 tails |= new
             heads, tails = [x for x in heads if x not in first], list(tails)
             first.update(zip(heads, self.ids(heads), strict=True))
-            later.update(zip(tails, self.ids([" " + x for x in tails]), strict=True))
+            later.update(zip(tails, self.spaced_ids(tails), strict=True))
             for k, (head, tail) in split.items():
                 out[k] = b"".join([first[head], *map(later.__getitem__, tail)])
             for k in odd:
@@ -111,7 +135,7 @@ def loaded(path: str | None) -> Tokens:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokens(path)
+    return kept(Tokens(path))
 
 
 def tokenised(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
@@ -119,6 +143,7 @@ def tokenised(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> D
 
     def work():
         bpe, end = loaded(path), END.to_bytes(4, "little")
+        only(bpe)
 
         def of(texts: list) -> dict:
             ids = [memoryview(x + end) for x in bpe.encode_batch([t or "" for t in texts])]

@@ -128,11 +128,43 @@ def captured_links(df: DataFrame, keys: list[str], html: str, block: str = r"(?i
     return out.select(*keys, "n", F.regexp_extract("a", r'(?is)href="([^"]*)"', 1).alias("href"), F.trim(F.regexp_replace(F.regexp_replace("a", "<[^>]+>", " "), r"\s+", " ")).alias("label"))
 
 
-def text_after(df: DataFrame, keys: list[str], html: str, marker: str) -> DataFrame:
-    """The non-empty lines of a page after its first line with this phrase."""
-    ln = lines(df, keys, html_text(F.col(html)))
-    w = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    return ln.withColumn("after", F.max(F.col("line").contains(marker).cast("int")).over(w)).where("after = 1 and line <> ''").select(*keys, "line_no", "line")
+def phrase_candidates(pages: DataFrame, keys: list[str], html: str, phrase: str, kind: str, path: str) -> DataFrame:
+    """Candidates of a result page: what follows a phrase on the lines that hold it."""
+    ln = lines(pages, keys, html_text(F.col(html))).where(F.col("line").contains(phrase))
+    rest = F.btrim(F.substring("line", F.locate(phrase, F.col("line")) + len(phrase), F.length("line")), F.lit(" :-"))
+    rows = ln.withColumn("title", rest).where("title <> ''").select(*keys, "line_no", "title", F.lit(kind).alias("source_kind"), F.lit(path).alias("source_path"), F.lit("low").alias("confidence"), R.content_kind(F.col("title")).alias("content_kind"))
+    return distinct_first(candidates(rows, "title", [*keys, "line_no"]), [*keys, "normalized_title"], [F.asc("line_no")]).drop("line_no")
+
+
+def table_candidates(pages: DataFrame, keys: list[str], html: str, caption: str, link: str, kind: str) -> DataFrame:
+    """Candidates of an issue page (source_path): the linked titles in the table under a caption."""
+    inner = F.regexp_extract(html, rf"(?is){caption}</p>\s*<table[^>]*>(.*?)</table>", 1)
+    titles = F.regexp_extract_all(inner, F.lit(rf'(?is)<td>\s*<a[^>]+{link}[^"]+"[^>]*>([^<]+)</a>'), F.lit(1))
+    rows = pages.select(*keys, "source_path", F.posexplode(titles).alias("n", "raw")).withColumn("title", html_text(F.col("raw")))
+    rows = rows.select(*keys, "source_path", "n", "title", F.lit(kind).alias("source_kind"), F.lit("high").alias("confidence"), F.lit("full_version").alias("content_kind"))
+    return distinct_first(candidates(rows, "title", [*keys, "n"]), [*keys, "source_path", "normalized_title"], [F.asc("n")]).drop("n")
+
+
+def metadata_files(files: DataFrame, depth: int = 3, most: int = 128 * 1024) -> DataFrame:
+    """Of a manifest (path, length, is_link) the small files that may hold titles, no deeper than so many parts."""
+    ok = suffix(F.col("path")).isin(V.METADATA_SUFFIXES) & (F.col("length") <= most) & (F.size(F.split("path", "/")) <= depth) & ~F.coalesce("is_link", F.lit(False))
+    return files.where(ok)
+
+
+def merged_hits(hits: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The first n different ids of ordered searches (query_no, place)."""
+    from .dedupe import best_by
+
+    return best_by(distinct_first(hits, [*keys, "id"], [F.asc("query_no"), F.asc("place")]), keys, [F.asc("query_no"), F.asc("place")], n)
+
+
+def issue_queries(code: Column, year: Column, variant: Column, name: str) -> Column:
+    """The search phrases for an issue of a magazine, in order, each once."""
+    month, short = F.substring(code, 4, 2), F.lpad((year % 100).cast("string"), 2, "0")
+    quoted = lambda *x: F.concat(F.lit(f'"{name}"'), *[F.concat(F.lit(' "'), v, F.lit('"')) for v in x])
+    date = F.concat(month, F.lit("/"), short)
+    more = F.when(~variant.isin("CD", "Standard"), quoted(date, variant))
+    return F.array_distinct(F.filter(F.array(quoted(code), quoted(F.concat(month, F.lit("/"), year.cast("string"))), quoted(date), more), lambda x: x.isNotNull()))
 
 
 def alias_pairs(df: DataFrame, keys: list[str]) -> DataFrame:

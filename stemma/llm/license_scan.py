@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import let, pick, table
+from .common import pick, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K = 3
@@ -47,31 +47,29 @@ def words_of(text: Column) -> Column:
 
 def templates(spark: SparkSession) -> DataFrame:
     """A row for each k-gram of each template; tid 0 is the mark."""
-    rows = [(0, "", False, 1, 0, [MARK])]
+    rows = [(0, "", False, 1, 0, MARK, "", "")]
     for tid, (label, text, exact) in enumerate([(*x, True) for x in PHRASES] + [(*x, False) for x in NOTICES], 1):
         w = text.split()
-        rows += [(tid, label, exact, len(w), t, w[t : t + K]) for t in range(len(w) - K + 1)]
-    df = spark.createDataFrame(rows, "tid int, label string, exact boolean, length int, tpos int, tgram array<string>")
-    return df.withColumn("h", F.xxhash64("tgram"))
-
-
-def grams(words: Column) -> Column:
-    """The mark with the number of words, then every k-gram with its place."""
-    one = lambda pos, g: F.struct(pos.alias("pos"), F.xxhash64(g).alias("h"), g.alias("gram"))
-    rolling = F.transform(F.sequence(F.lit(0), F.size(words) - K), lambda i: one(i, F.slice(words, i + 1, K)))
-    mark = F.array(one(F.size(words), F.array(F.lit(MARK))))
-    return F.when(F.size(words) < K, mark).otherwise(F.concat(mark, rolling))
+        rows += [(tid, label, exact, len(w), t, *w[t : t + K]) for t in range(len(w) - K + 1)]
+    df = spark.createDataFrame(rows, "tid int, label string, exact boolean, length int, tpos int, t0 string, t1 string, t2 string")
+    return df.withColumn("h", F.when(F.col("tid") == 0, F.xxhash64("t0")).otherwise(F.xxhash64("t0", "t1", "t2")))
 
 
 def spans(docs: DataFrame) -> DataFrame:
     """A row for each document (tid 0: first = its number of words, hits = how often this row occurs) and each span of a
     template: label, exact, first and last word, share of the template's words, the exact places."""
     d = pick(docs, doc_id="bigint", text="string")
-    # Equal rows of a partition are counted together: a copy then adds nothing but to the number of hits.
-    d = d.select(F.spark_partition_id().alias("part"), "doc_id", F.xxhash64("text").alias("th"), F.explode(let(words_of(F.col("text")), grams)).alias("g"))
-    d = d.select("part", "doc_id", "th", "g.pos", "g.h", "g.gram")
-    same_words = F.forall(F.zip_with("gram", "tgram", lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x)
-    hit = d.join(F.broadcast(templates(docs.sparkSession)), "h").where(same_words)
+    # Equal rows of a partition are counted together: a copy then adds nothing but to the number of hits. The mark stands
+    # first, so the words' places count from 1; the grams are hashed place by place in generated code, and the array of
+    # words is never copied: only a hit's few columns leave the join.
+    d = d.select(F.spark_partition_id().alias("part"), "doc_id", F.xxhash64("text").alias("th"), F.concat(F.array(F.lit(MARK)), words_of(F.col("text"))).alias("words"))
+    d = d.select("*", F.posexplode("words").alias("at", "w0"))
+    d = d.withColumns({"w1": F.get("words", F.col("at") + 1), "w2": F.get("words", F.col("at") + 2)})
+    d = d.withColumn("h", F.when(F.col("at") == 0, F.xxhash64(F.lit(MARK))).otherwise(F.xxhash64("w0", "w1", "w2")))
+    d = d.withColumn("pos", F.when(F.col("at") == 0, F.size("words") - 1).otherwise(F.col("at") - 1))
+    # Not plain equalities, which would become join keys and cost a row of texts for each gram.
+    same = F.coalesce(F.col("w0") == F.col("t0"), F.lit(False)) & ((F.col("tid") == 0) | (F.coalesce(F.col("w1") == F.col("t1"), F.lit(False)) & F.coalesce(F.col("w2") == F.col("t2"), F.lit(False))))
+    hit = d.join(F.broadcast(templates(docs.sparkSession)), "h").where(same)
     doc, of = ["part", "doc_id", "th"], ["tid", "label", "exact", "length"]
     votes = hit.groupBy(*doc, *of, (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(F.collect_set("tpos").alias("at"), F.count("*").alias("hits"))
     w = Window.partitionBy(*doc, "tid").orderBy("diagonal")

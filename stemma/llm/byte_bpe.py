@@ -23,7 +23,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from .common import map_texts, table
+from .common import kept, map_texts, only, table
 
 CACHE = 600_000
 BLOCK = 256
@@ -58,6 +58,9 @@ class Bpe:
             self.vocab[r] = token
         self.known: dict[str, bytes] = {}
 
+    def clear(self) -> None:
+        self.known = {}
+
     def merge_all(self, words: list[bytes]) -> list[list[int]]:
         """The ids of each of these byte strings."""
         if not words:
@@ -136,10 +139,7 @@ class Bpe:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        known, find = self.known, self.pattern.findall
-        if len(known) > CACHE:
-            known.clear()
-        out = []
+        known, find, out = self.known, self.pattern.findall, []
         for some in batches_of(texts):
             split = [find(t) for t in some]
             new = list({w for ws in split for w in ws if w not in known})
@@ -175,7 +175,7 @@ def batches_of(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
 
 @lru_cache(2)
 def loaded(path: str, pattern: str) -> Bpe:
-    return Bpe(read_ranks(path), pattern)
+    return kept(Bpe(read_ranks(path), pattern))
 
 
 def vocabulary() -> tuple[str, str]:
@@ -192,6 +192,7 @@ def encode_table(docs: DataFrame, path: str | None = None, pattern: str | None =
     def work():
         file, pat = vocabulary() if path is None else (path, pattern)
         bpe = loaded(file if "/" in file else SparkFiles.get(file), pat)
+        only(bpe)
 
         def of(texts: list) -> dict:
             ids = bpe.encode_batch([t or "" for t in texts])

@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ftrl
-from .common import fold, pick, table
+from .common import fold, kept, only, pick, small_batches, table
 
 DIMS = 1 << 18
 #: Documented bound: so many labelled documents of the learning folds are used for fitting, chosen by a hash of their id.
 TRAIN_ROWS = 6000
 THRESHOLD = 0.5
 SCALE = 24.0
-CACHE = 300_000
+CACHE = 200_000
 #: Feature 0 is the bias, 1 a word equal to the one before.
 BIAS, AGAIN = 0, 1
 
@@ -48,7 +48,7 @@ class Words(dict):
         return v
 
 
-_words = Words()
+_words = kept(Words())
 
 
 def indices(text: str | None) -> np.ndarray:
@@ -84,6 +84,7 @@ def score_texts(texts, weights: np.ndarray) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, rows: int, featurise) -> list[tuple]:
     """(doc_id, label, indices, values) of at most `rows` labelled documents outside the held-out fold, in a fixed order."""
     spark = docs.sparkSession
+    small_batches(spark)
     lab = pick(labels, doc_id="bigint", **{label: "int"}).dropna().groupBy("doc_id").agg(F.max(label).alias("y"))
     lab = lab.where(fold(F.col("doc_id"), parts) != held_out)
     chosen = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -114,6 +115,7 @@ def scorer(weights: np.ndarray):
 
     @F.pandas_udf("double")
     def score(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        only(_words)
         w = np.frombuffer(raw, np.float32)
         for texts in it:
             yield pd.Series(score_texts(texts.tolist(), w), index=texts.index)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, table
+from .common import map_texts, only, small_batches, table
 
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -164,8 +164,10 @@ def redact(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     @F.pandas_udf("string")
     def mask(texts: pd.Series) -> pd.Series:
+        only(None)
         return texts.map(masked, na_action="ignore")
 
+    small_batches(spark)
     out = docs.withColumn("text", mask(docs["text"].cast("string")))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ftrl
-from .common import fold, pick, table
+from .common import fold, kept, only, pick, table
 from .quality_classifier import learn
 
 DIMS = 1 << 18
@@ -28,7 +28,7 @@ DIMS = 1 << 18
 TRAIN_ROWS = 8000
 THRESHOLD = 0.3
 ALPHA, L1, EPOCHS = 0.3, 1.5, 8
-CACHE = 300_000
+CACHE = 200_000
 BIAS = 0
 MINED_VOTERS = 12
 WORD = re.compile(r"[^\W\d_]+")
@@ -59,7 +59,7 @@ class Words(dict):
         return v
 
 
-_words = Words()
+_words = kept(Words())
 
 
 def indices(text: str | None) -> np.ndarray:
@@ -161,6 +161,7 @@ def scorer(weights: np.ndarray):
 
     @F.pandas_udf("double")
     def score(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        only(_words)
         w = np.frombuffer(raw, np.float32)
         for texts in it:
             yield pd.Series(score_texts(texts.tolist(), w), index=texts.index, dtype="float64")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, pick, table
+from .common import cut, only, pick, small_batches, table
 from .components import components
 
 WORDS = 4
@@ -64,8 +64,11 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(text: Column) -> Column:
+    """The text column's fingerprints."""
+
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
+        only(None)
         return pd.Series([fingerprint(t) for t in texts], dtype="int64")
 
     return of(F.coalesce(text.cast("string"), F.lit("")))
@@ -259,16 +262,22 @@ def near_links(fps: DataFrame, hot: int = HOT) -> DataFrame:
     return links.union(star)
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def grouped(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """doc_id, fp and comp, the smallest id of the component (NONE: null ids only), for every row of docs."""
-    d = cut(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), fingerprints(docs["text"]).alias("fp")))
+    """doc_id, fp, th (a plain hash of the text), comp, the smallest id of the component (NONE: null ids only), and class,
+    one of its fingerprints, for every row of docs."""
+    small_batches(docs.sparkSession)
+    d = cut(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), fingerprints(docs["text"]).alias("fp"), text_hash(docs["text"]).alias("th")))
     nodes = cut(d.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(NONE))).alias("rep")))
     roots = components(near_links(nodes, hot), "a", "b")
     # Only fingerprints with a link are relabelled; all others are their own component.
     member = roots.select(F.col("node").alias("fp"), "root").union(roots.select("root", "root").distinct())
     least = member.join(nodes, "fp").groupBy("root").agg(F.min("rep").alias("least"))
-    label = cut(nodes.join(member.join(least, "root").select("fp", "least"), "fp", "left").select("fp", F.coalesce("least", "rep").alias("comp")))
-    return d.join(label, "fp").select("doc_id", "fp", "comp")
+    label = cut(nodes.join(member.join(least, "root").select("fp", "least", "root"), "fp", "left").select("fp", F.coalesce("least", "rep").alias("comp"), F.coalesce("root", "fp").alias("class")))
+    return d.join(label, "fp").select("doc_id", "fp", "th", "comp", "class")
 
 
 def dedup_table(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -279,12 +288,12 @@ def dedup_table(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
 def keep_first(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id, one row, with all its columns."""
-    g = grouped(docs)
-    first = g.where(F.coalesce("doc_id", F.lit(NONE)) == F.col("comp")).groupBy("comp").agg(F.min("fp").alias("first_fp"))
-    id_, fp = "__first_id", "__first_fp"
-    marked = docs.withColumn(id_, F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NONE))).withColumn(fp, fingerprints(docs["text"]))
-    kept = marked.join(first.select(F.col("comp").alias(id_), F.col("first_fp").alias(fp)), [id_, fp], "left_semi")
-    return kept.dropDuplicates([id_, fp]).select(*docs.columns)
+    first = grouped(docs).where(F.coalesce("doc_id", F.lit(NONE)) == F.col("comp")).groupBy("class", "comp").agg(F.min("th").alias("first_th"))
+    id_, th = "__first_id", "__first_th"
+    marked = docs.withColumn(id_, F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NONE))).withColumn(th, text_hash(docs["text"]))
+    # Of null ids there may be several components: their id is told apart by the text's hash only.
+    kept = marked.join(first.select(F.col("comp").alias(id_), F.col("first_th").alias(th)), [id_, th], "left_semi")
+    return kept.dropDuplicates([id_, th]).select(*docs.columns)
 
 
 def op4_simhash_dedup(spark, sf_dir: str) -> DataFrame:

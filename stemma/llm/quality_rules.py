@@ -23,7 +23,7 @@ THRESHOLDS = [
     ("n_words", 50, None),
     ("repeat_ratio", None, 0.5),
     ("mean_word_length", 1.5, 16.0),
-    ("symbol_ratio", None, 0.3),
+    ("symbol_ratio", None, 0.25),
     ("dup_line_ratio", None, 0.7),
     ("stop_words", 1, None),
     ("bang_ratio", None, 0.5),
@@ -89,7 +89,7 @@ def compiled(thresholds=THRESHOLDS) -> Column:
         "stop_words": F.col("stop_words"),
         "repeat_ratio": ratio("n_repeat_words", "n_words"),
         "mean_word_length": ratio("word_chars", "n_words"),
-        "symbol_ratio": ratio("n_symbols", "word_chars"),
+        "symbol_ratio": ratio("n_symbols", "n_words"),
         "dup_line_ratio": ratio("n_dup_lines", "n_lines"),
         "bang_ratio": ratio("n_bangs", "n_words"),
     }

@@ -1,7 +1,7 @@
 """Toxicity by weak supervision. Voters (built-in lexicons, patterns, lexicons mined from the learning folds, and the
 annotators' label as one more voter) vote on the learning sample; a generative model, fitted by expectation and
-maximisation, estimates each voter's rates under either class and the covariance between voters, which says how far
-correlated voters count once; its posteriors are the soft targets of a linear classifier over hashed words and word
+maximisation, estimates each voter's rates under either class and the correlations between voters, by which voters that
+say the same share their weight; its posteriors are the soft targets of a linear classifier over hashed words and word
 beginnings, and that classifier alone scores every document.
 
 Defined cases: a null or empty text scores as the bias says; without learning rows the built-in lexicons alone decide
@@ -90,7 +90,7 @@ def mine(rows, y) -> dict[int, int]:
     low[BIAS] = 0
     found = np.flatnonzero(low > max(0.3, 1.5 * y.mean()))
     found = found[np.argsort(-low[found], kind="stable")][:4096]
-    return {int(f): k % MINED_VOTERS for k, f in enumerate(found)}
+    return {int(f): k * MINED_VOTERS // len(found) for k, f in enumerate(found)}
 
 
 def votes_of(rows, mined: dict[int, int], y) -> np.ndarray:
@@ -106,21 +106,24 @@ def votes_of(rows, mined: dict[int, int], y) -> np.ndarray:
     return 2 * np.array(out, float) - 1
 
 
-def label_model(votes: np.ndarray, steps: int = 12) -> np.ndarray:
-    """Posterior of class 1 per row. Each class is a mean vector of votes (the voters' accuracies) with one covariance
-    within classes (their correlations); the posterior is the log ratio of the two, started at the annotators' votes."""
-    post = np.clip((votes[:, -1] + 1) / 2, 0.02, 0.98)
-    d = votes.shape[1]
+def label_model(votes: np.ndarray, steps: int = 20) -> np.ndarray:
+    """Posterior of class 1 per row, by expectation and maximisation over votes in -1..1, the annotators' last. A voter's
+    rates of a positive vote in either class are its accuracy; the correlations of the voters within classes say how much
+    of its evidence is its own: of voters that always agree, each counts for its share."""
+    v = (votes > 0).astype(float)
+    post = np.clip(0.6 * v[:, -1] + 0.4 * v[:, :-1].mean(1), 0.02, 0.98)
     for _ in range(steps):
-        prior = np.clip(post.mean(), 1e-3, 1 - 1e-3)
-        m1, m0 = (post[:, None] * votes).sum(0) / post.sum(), ((1 - post)[:, None] * votes).sum(0) / (1 - post).sum()
-        c1, c0 = votes - m1, votes - m0
-        cov = ((c1 * post[:, None]).T @ c1 + (c0 * (1 - post)[:, None]).T @ c0) / len(votes) + 0.05 * np.eye(d)
-        w = np.linalg.solve(cov, m1 - m0)
-        new = ftrl.sigmoid((votes - (m1 + m0) / 2) @ w + np.log(prior / (1 - prior)))
+        n1, n0 = post.sum(), (1 - post).sum()
+        p1, p0 = (post @ v + 0.5) / (n1 + 1), ((1 - post) @ v + 0.5) / (n0 + 1)
+        off = v - (post[:, None] * p1 + (1 - post)[:, None] * p0)
+        cov = off.T @ off / len(v)
+        spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+        share = 1 / np.maximum(0, cov / np.outer(spread, spread)).sum(1).clip(1)  # 1 with itself
+        logit = np.log(n1 / n0) + v @ (share * np.log(p1 / p0)) + (1 - v) @ (share * np.log((1 - p1) / (1 - p0)))
+        new = np.clip(ftrl.sigmoid(logit), 1e-4, 1 - 1e-4)
         if np.abs(new - post).max() < 1e-4:
             break
-        post = np.clip(new, 1e-4, 1 - 1e-4)
+        post = new
     return post
 
 

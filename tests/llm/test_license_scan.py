@@ -31,12 +31,13 @@ def test_altered_notices(spark, docs):
             continue
         altered = " ".join([*w[:6], "quite", "really", *w[6:]])  # two words put in: the diagonal moves
         rows += [(k, f"some words before {text} and after"), (100 + k, f"before {altered} after"), (200 + k, " ".join(w[: len(w) // 2]))]
+        rows.append((300 + k, " ".join([*w[:6], "other", *w[7:]])))
         want |= {k: label, 100 + k: label}
     got = {r.doc_id: r for r in L.summary(docs(rows)).collect()}
     for i, r in got.items():
-        assert (want[i] in r.labels.split(",")) if i in want else r.labels == "", (i, r)
+        assert (want[i] in r.labels.split(",")) if i in want else i >= 300 or r.labels == r.base_labels, (i, r)
         assert 0 <= r.score <= 1 and r.n_base == brute(dict(rows)[i])[1]
-    assert got[0].score == 1.0 and got[100].score < 1.0
+    assert got[0].score == got[100].score == 1.0 and got[300].labels == "apache-2" and 0.8 <= got[300].score < 1.0
 
 
 def test_empty(spark, docs):

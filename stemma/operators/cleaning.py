@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import rules as R
 from ..functions.text import cluster_key, normalize_spaces, normalized_title, public_title, repair_tokens, safe, split_camel, strip_suffixes
+from ..session import materialised
 from .segment import repair_compounds
 
 
@@ -35,7 +36,7 @@ def clean_titles(rows: DataFrame, key: str, title: str, kind: str, vocab: DataFr
     out = out.withColumn("content_class", R.content_class(F.col("__original")))
     out = out.withColumn("content_form", R.content_form(safe(F.col(kind)) if kind else F.lit(""), F.col("content_class")))
     out = out.withColumn("__one", strip_suffixes(split_camel(F.col("__original")))).withColumn("cleaned_title", F.col("__one")["text"])
-    out = repair_compounds(out, key, "cleaned_title", vocab)
+    out = materialised(repair_compounds(materialised(out), key, "cleaned_title", vocab))
     out = out.withColumn("__rep", repair_tokens(F.col("cleaned_title")))
     out = out.withColumn("__two", strip_suffixes(F.col("__rep")))
     flags = F.array(

@@ -12,6 +12,7 @@ from ..functions.text import joined, lenient_int, public_notes, public_reason, s
 from ..operators.dedupe import best_by, last_wins, ordered_list
 from ..operators.extract import alias_pairs
 from ..operators.matching import best_match
+from ..session import materialised
 from . import schemas as S
 from .publish import with_matches
 
@@ -32,16 +33,17 @@ def enrich(issues: DataFrame, master: DataFrame, baseline: DataFrame, rejections
     m = last_wins(master, "game_id", [F.col("representative_title")])
     pairs = alias_pairs(rows, ["game_id"]).withColumn("key", F.concat_ws("\u0001", "game_id", "normalized", "title"))
     pairs = pairs.withColumn("ordinal", F.concat_ws("\u0001", "ordinal", F.lpad(F.col("n").cast("string"), 6, "0")))
-    looked = with_matches(pairs, "normalized", baseline, rejections, "key")
+    looked = materialised(with_matches(materialised(pairs), "normalized", baseline, rejections, "key"))
     first = ids.join(m.select("game_id", lenient_int(safe(F.col("first_seen_year"))).alias("first_year")), "game_id", "left")
     alias_rows = looked.select("game_id", "ordinal", F.col("title").alias("source_title"), "alias_rejection_notes", *[F.col(f"alias_{f}").alias(f) for f in V.MATCH_FIELDS]).join(first, "game_id")
-    best = best_match(alias_rows, "game_id", V.MATCH_FIELDS, "first_year")
+    best = materialised(best_match(alias_rows, "game_id", V.MATCH_FIELDS, "first_year"))
     drop = [c for c in m.columns if c in {*V.MATCH_FIELDS, *S.UNFILLED, "match_action", "match_notes", "data_quality_score"}]
     e = ids.join(m.drop(*drop), "game_id", "left").join(best, "game_id")
     action = F.when(F.col("match_action") != "retained_best_alias_match", F.col("match_action"))
     e = e.withColumn("match_notes", public_notes(F.array("notes", "quality_notes", action)))
     e = e.withColumn("canonical_slug", F.when(F.col("canonical_slug") != "", F.col("canonical_slug")).when(F.col("canonical_title") != "", slug(F.col("canonical_title"))).otherwise(""))
     e = e.withColumns({c: F.lit("") for c in S.UNFILLED}).withColumn("data_quality_score", R.quality_points(F.col))
+    e = materialised(e)
     down = [*S.ENRICHED, "match_action", "match_notes", "data_quality_score"]
     issue_rows = rows.drop("ordinal", *[c for c in down if c in rows.columns]).join(e.select("game_id", *down), "game_id")
     ranked = rank_aliases(alias_rows)

@@ -14,6 +14,7 @@ from ..operators import joins as J
 from ..operators.dedupe import last_wins
 from ..operators.matching import best_match
 from ..operators.segment import vocabulary
+from ..session import materialised
 from . import schemas as S
 
 
@@ -28,9 +29,9 @@ ORDER = ["archive_name", "normalized_title", "representative_title", "source_kin
 
 def clean(issues: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept rows with clean_reason, dropped rows with drop_reason)."""
-    rows = C.with_reason(C.repair_titles(issues))
+    rows = materialised(C.with_reason(materialised(C.repair_titles(issues))))
     kept = rows.where("keep").withColumnRenamed("reason", "clean_reason").drop("keep")
-    return C.repair_titles(kept), rows.where("not keep").withColumnRenamed("reason", "drop_reason").select(S.DROPPED)
+    return materialised(C.repair_titles(kept)), rows.where("not keep").withColumnRenamed("reason", "drop_reason").select(S.DROPPED)
 
 
 def match_table(baseline: DataFrame) -> DataFrame:
@@ -58,13 +59,13 @@ def prepared(rows: DataFrame, baseline: DataFrame, overrides: DataFrame, rejecti
     if "canonical_title" in baseline.columns:
         names = names.unionByName(match_table(baseline).where(~R.is_qid(F.col("alias_canonical_title")) & (F.col("alias_canonical_title") != "")).select(F.col("alias_canonical_title").alias("title")))
     vocab = vocabulary(names, "title")
-    out = C.clean_titles(src, "ordinal", "source_title", "content_kind", vocab)
+    out = C.clean_titles(src, "ordinal", "source_title", "content_kind", materialised(vocab))
     out = out.withColumns({"representative_title": F.col("cleaned_title"), "normalized_title": F.col("cleaned_normalized"), "title_cleanup_flags": F.array_join("flags", "; ")}).drop("flags", "cleaned_normalized")
-    out = with_matches(out, "source_normalized_title", baseline, rejections, "ordinal")
+    out = with_matches(materialised(out), "source_normalized_title", baseline, rejections, "ordinal")
     o = last_wins(overrides, "game_id", [F.col(c) for c in S.OVERRIDES]).select("game_id", F.col("content_class").alias("__class"), F.lower(F.trim(safe(F.col("publishable")))).alias("__publish"), F.col("reason").alias("manual_content_reason"))
     out = out.join(o, "game_id", "left").withColumn("content_class", F.when(safe(F.col("__class")) != "", F.col("__class")).otherwise(F.col("content_class")))
     hidden = F.coalesce(F.col("__publish").isin("0", "false", "no"), F.lit(False)) | F.col("content_class").isin(R.NOT_GAMES)
-    out = out.withColumn("__hidden", hidden)
+    out = materialised(out.withColumn("__hidden", hidden))
     shown = J.trailing_zero(out.where("not __hidden"), "game_id")
     flags = joined(F.array(F.col("title_cleanup_flags"), F.lit("merged_trailing_zero_ocr")))
     shown = shown.withColumn("title_cleanup_flags", F.when(F.col("merged"), flags).otherwise(F.col("title_cleanup_flags"))).drop("merged")
@@ -75,7 +76,8 @@ def masters(issues: DataFrame) -> DataFrame:
     """Games with their best match and quality; issues are clustered rows with alias_* fields."""
     g = G.games(issues)
     aliases = issues.select("game_id", F.col("issue_code").alias("ordinal"), "source_title", "alias_rejection_notes", *[F.col(f"alias_{f}").alias(f) for f in V.MATCH_FIELDS])
-    best = best_match(aliases.join(g.select("game_id", "__first_year"), "game_id"), "game_id", V.MATCH_FIELDS, "__first_year")
+    g = materialised(g)
+    best = materialised(best_match(aliases.join(g.select("game_id", "__first_year"), "game_id"), "game_id", V.MATCH_FIELDS, "__first_year"))
     m = g.drop("__first_year").join(best, "game_id")
     action = F.when(F.col("match_action") != "retained_best_alias_match", F.col("match_action"))
     m = m.withColumn("match_notes", public_notes(F.array("notes", "quality_notes", action)))
@@ -83,7 +85,7 @@ def masters(issues: DataFrame) -> DataFrame:
     # A matched canonical title that is a spelling of the same game is shown instead.
     fits = (F.col("match_status") == "matched") & (F.col("canonical_title") != "") & ~R.is_qid(F.col("canonical_title")) & (F.col("representative_title") != F.col("canonical_title"))
     same = fits & (cluster_key(F.col("canonical_title")) == F.col("game_id"))
-    m = m.withColumn("__same", same)
+    m = materialised(m.withColumn("__same", same))
     m = m.withColumns(
         {
             "representative_title": F.when(F.col("__same"), F.col("canonical_title")).otherwise(F.col("representative_title")),
@@ -97,10 +99,10 @@ def publish(issues: DataFrame, baseline: DataFrame, overrides: DataFrame, reject
     """The published tables by name. issues has the columns of ISSUE_TITLES."""
     kept, dropped = clean(issues)
     final_master = G.rebuilt_master(ordered(kept, ORDER)).select(S.MASTER_GAMES)
-    some = C.repair_titles(kept.where(R.publishable(F.col("representative_title"), F.col("normalized_title"), F.col("source_kinds"))))
+    some = materialised(C.repair_titles(kept.where(R.publishable(F.col("representative_title"), F.col("normalized_title"), F.col("source_kinds")))))
     shown, hidden = prepared(some, baseline, overrides, rejections)
-    clustered = G.issue_clusters(shown)
-    master = masters(clustered)
+    clustered = materialised(G.issue_clusters(shown))
+    master = materialised(masters(clustered))
     down = ["normalized_title", "representative_title", "content_class", "cleanup_flags", "merge_confidence", *S.PUSHED]
     issue_rows = clustered.drop(*down).join(master.select("game_id", *down), "game_id")
     return {

@@ -39,7 +39,7 @@ def readme_rows(readme: DataFrame, heading: str = "## Full Table") -> DataFrame:
     """(place, a, b, c) of the three-column table under a heading (column text, one row)."""
     tail = F.when(F.col("text").contains(heading), F.element_at(F.split("text", heading, 2), 2)).otherwise("")
     r = readme.select(F.posexplode(F.split(tail, "\n")).alias("place", "line")).where("line like '| %' and line not like '| Title |%' and line not like '| --- |%'")
-    p = F.transform(F.split(F.btrim(F.trim("line"), F.lit("|")), r"\|"), F.trim)
+    p = F.transform(F.split(F.btrim(F.trim("line"), F.lit("|")), r"\|"), lambda x: F.trim(x))
     return r.withColumn("p", p).where(F.size("p") == 3).select("place", *[F.get("p", i).alias(n) for i, n in enumerate("abc")])
 
 

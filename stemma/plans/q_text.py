@@ -191,7 +191,7 @@ def cluster_key(spark, d):
     return titles(spark, d).select("p_partkey", T.cluster_key(F.col("title")).alias("game_id"))
 
 
-@query("SELECT doc_id, md5(strip_accents(replace(replace(text, 'ß', 'ss'), 'ẞ', 'SS'))) AS folded FROM documents")
+@query("SELECT doc_id, md5(strip_accents(replace(replace(text, 'ß', 'ss'), 'ẞ', 'SS'))) AS folded FROM documents", name="ascii_fold")
 def ascii_folding(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(ascii_fold(F.col("text"))).alias("folded"))
 
@@ -246,7 +246,7 @@ def html_sql(x: str) -> str:
     return f"regexp_replace(replace({x}, chr(13), chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g')"
 
 
-@query(f"SELECT page_id, length(t) AS n, md5(t) AS digest, title FROM (SELECT page_id, {html_sql('html')} AS t, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages)")
+@query(f"SELECT page_id, length(t) AS n, md5(t) AS digest, title FROM (SELECT page_id, {html_sql('html')} AS t, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages)", name="html_text")
 def html_texts(spark, d):
     p = table(spark, d, "pages").select("page_id", T.html_text(F.col("html")).alias("t"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
     return p.select("page_id", F.length("t").cast("bigint").alias("n"), F.md5("t").alias("digest"), "title")

@@ -8,11 +8,11 @@ QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(sql: str | None):
+def query(sql: str | None, name: str | None = None):
     def add(f):
-        QUERIES[f.__name__] = f
+        QUERIES[name or f.__name__] = f
         if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
+            ORACLE_SQL[name or f.__name__] = sql
         return f
 
     return add

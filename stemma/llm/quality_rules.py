@@ -108,3 +108,27 @@ def verdicts(docs: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
     return verdicts(table(spark, sf_dir, "documents"))
+
+
+#: The same with windows told apart as texts, by unnesting every word.
+OP7_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+g AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+r AS (SELECT rid, i + unnest([0, 1, 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS c FROM g) WHERE c > 1),
+v AS (SELECT rid, count(DISTINCT p) AS n FROM r GROUP BY rid),
+l AS (SELECT rid, count(*) AS n, count(*) - count(DISTINCT x) AS dup FROM (SELECT rid, unnest(string_split(t, chr(10))) AS x FROM d)
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY rid),
+m AS (
+  SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines, coalesce(v.n, 0) AS n_repeat_words,
+    coalesce(l.n, 0) AS n_lines, (length(t) - length(replace(t, '!!', ''))) / 2 AS n_bangs,
+    len(list_intersect(ws, string_split('{STOP_WORDS}', ' '))) AS stops
+  FROM w LEFT JOIN v USING (rid) LEFT JOIN l USING (rid)
+), f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+  n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND word_chars / n_words BETWEEN 1.5 AND 16 AND n_symbols / n_words <= 0.25 AND n_dup_lines / n_lines <= 0.7
+  AND stops >= 1 AND n_bangs / n_words <= 0.5 AS kept
+FROM f
+"""

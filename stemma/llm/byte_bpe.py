@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from .common import kept, map_texts, only, table
 
-CACHE = 600_000
+CACHE = 1_000_000
 BLOCK = 256
 
 

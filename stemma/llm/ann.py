@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import cut, table
 
 K = 20
-SAMPLE = 20_000
+SAMPLE = 12_000
 #: The most lists; up to there half the square root of the number of vectors.
 MOST_LISTS = 4096
 #: Lists are probed as far as this share of the neighbours within the sample lies (TRIALS sample queries, brute force).
@@ -139,7 +139,7 @@ def search(embeddings: DataFrame, is_query=None, k: int = K, lists: int | None =
     if not whole.n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     most, d = whole.most, whole.d
-    sample = np.array([r.v for r in e.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE).collect()])
+    sample = matrix(e.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE).select("v").toArrow().column("v"))
     turn = rotation(d + 1)
     mid = centres(longer(sample, most, False) @ turn, lists or (1 if whole.n < 1000 else min(MOST_LISTS, round(whole.n**0.5 / 2))))
     probes = calibrated(sample, most, turn, mid, k)

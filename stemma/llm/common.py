@@ -1,4 +1,4 @@
-"""What the operators of this subpackage share: table access, checkpoints, voc files."""
+"""What the operators of this subpackage share: table access, checkpoints, batches of texts, caches of Python workers."""
 
 from __future__ import annotations
 

@@ -244,3 +244,26 @@ def text_sidecars(files: DataFrame, keys: list[str], n: int = 2) -> DataFrame:
     ocr = F.lower("name").rlike(r"(djvu|ocr|text)\.txt$")
     ok = F.lower("name").endswith(".txt") & (F.col("size") > 0) & (F.col("size") <= 5 * 1024 * 1024) & (ocr | (F.col("size") < 512 * 1024))
     return best_by(files.where(ok), keys, [F.asc("size"), F.asc(F.lower("name"))], n)
+
+
+def image_paths(chosen: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame:
+    """The file to read for each container (column path) and how: a sheet's converted image, a descriptor's data file if the
+    manifest has it, else the container itself."""
+    stem_ = F.regexp_replace("path", r"\.[^./]*$", "")
+    data = F.when(suffix(F.col("path")) == ".mds", F.concat(stem_, F.lit(".mdf"))).when(suffix(F.col("path")) == ".ccd", F.concat(stem_, F.lit(".img")))
+    have = manifest.select(*keys, F.col("path").alias("data_path")).distinct().withColumn("there", F.lit(True))
+    out = chosen.withColumn("data_path", data).join(have, [*keys, "data_path"], "left")
+    sheet = suffix(F.col("path")) == ".cue"
+    how = F.when(sheet, "sheet to image").when(F.col("there"), "data file").otherwise("as it is")
+    image = F.when(sheet, F.concat(stem_, F.lit(".iso"))).when(F.col("there"), F.col("data_path")).otherwise(F.col("path"))
+    return out.select(*keys, "path", image.alias("image_path"), how.alias("how"))
+
+
+def issue_page(code: Column, year: Column, base: str, first: int = 1999, last: int = 2004) -> Column:
+    """Address of an issue's page, for the years that have one."""
+    return F.when((year >= first) & (year <= last), F.concat(F.lit(base), F.substring(code, 4, 2), F.lit("-"), year.cast("string"), F.lit(".html")))
+
+
+def activity(files: DataFrame) -> DataFrame:
+    """One row: how many files and bytes a manifest (path, length) holds."""
+    return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))

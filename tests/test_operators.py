@@ -143,3 +143,12 @@ def test_sample(spark, size):
     assert a == b and len(a) == min(size, 60)
     if size >= 4:
         assert {k % 4 for k in a} == {0, 1, 2, 3}
+
+
+def test_images_and_pages(spark):
+    m = spark.createDataFrame([("a", "d/x.mds", 5), ("a", "d/x.mdf", 7), ("a", "d/y.ccd", 1), ("a", "d/z.cue", 1), ("a", "d/w.iso", 2)], "archive string, path string, length bigint")
+    got = {r.path: (r.image_path, r.how) for r in extract.image_paths(m.where("path not like '%mdf'").select("archive", "path"), m, ["archive"]).collect()}
+    assert got == {"d/x.mds": ("d/x.mdf", "data file"), "d/y.ccd": ("d/y.ccd", "as it is"), "d/z.cue": ("d/z.iso", "sheet to image"), "d/w.iso": ("d/w.iso", "as it is")}
+    assert extract.activity(m).first() == (5, 16)
+    y = spark.createDataFrame([("CBS092000", 2000), ("CBS0111", 2011)], "c string, y int")
+    assert [r[0] for r in y.select(extract.issue_page(F.col("c"), F.col("y"), "http://x/")).collect()] == ["http://x/09-2000.html", None]

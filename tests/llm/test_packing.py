@@ -68,3 +68,12 @@ def test_pieces(spark, docs, odd_texts, tokenizer):
 
 def test_empty(spark, docs):
     assert P.pack(docs([])).collect() == []
+
+
+def test_a_full_cache_changes_nothing(monkeypatch, tokenizer):
+    random.seed(12)
+    monkeypatch.setattr(P, "CACHE", 40)
+    t = P.Tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [" ".join(random.choice(["ab", "cd", "e", "f."]) + str(random.randint(0, 30)) for _ in range(20)) for _ in range(1200)]
+    got = t.encode_batch(texts)
+    assert got == [np.array(tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]

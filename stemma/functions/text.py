@@ -86,7 +86,8 @@ def split_camel(c: Column) -> Column:
         s = F.regexp_replace(s, "(?<=[A-Z])(?=[A-Z][a-z])", " ")
         s = F.regexp_replace(s, r"(?<=[A-Za-z]{2})(?=\d{1,4}\b)", " ")
         s = F.regexp_replace(s, r"(?<=\d)(?=[A-Za-z]{2,})", " ")
-        return F.when(t.rlike(r"^[A-Za-z]\d+$"), t).otherwise(s)
+        # One look tells most words from those that any of the four could change.
+        return F.when(~t.rlike(r"[a-z][A-Z]|[A-Z][A-Z][a-z]|\d") | t.rlike(r"^[A-Za-z]\d+$"), t).otherwise(s)
 
     return normalize_spaces(F.array_join(F.transform(F.split(F.trim(F.coalesce(c, F.lit(""))), r"\s+"), one), " "))
 

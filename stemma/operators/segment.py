@@ -17,7 +17,7 @@ LONGEST, LEAST_SCORE = 20, 3.5
 def tokens(title: Column) -> Column:
     """Folded words of a title."""
     words = F.regexp_extract_all(split_camel(normalize_spaces(title)), F.lit(f"[{LETTERS}]+"), F.lit(0))
-    return F.filter(F.transform(words, lambda w: F.lower(ascii_fold(w))), lambda w: w != "")
+    return F.filter(F.transform(words, lambda w: F.lower(F.when(w.rlike(r"[^\x00-\x7F]"), ascii_fold(w)).otherwise(w))), lambda w: w != "")
 
 
 def vocabulary(titles: DataFrame, column: str) -> DataFrame:

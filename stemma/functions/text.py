@@ -192,7 +192,7 @@ def list_items(c: Column) -> Column:
 def noise_title(norm: Column) -> Column:
     """Whether a normalized title names nothing: null, the magazine, a generic part, an issue code."""
     bare = F.replace(norm, F.lit(" "), F.lit(""))
-    return norm.isNull() | norm.isin(V.GENERIC_TITLES) | norm.startswith("computer bild") | bare.isin(V.GENERIC_SEGMENTS) | bare.rlike(r"^(cb|cbs)\d{3,4}[a-z]*$")
+    return norm.isNull() | norm.isin(V.GENERIC_TITLES) | norm.startswith(V.GENERIC_TITLES[0]) | bare.isin(V.GENERIC_SEGMENTS) | bare.rlike(r"^(cb|cbs)\d{3,4}[a-z]*$")
 
 
 def title_from_parts(parts: Column) -> Column:

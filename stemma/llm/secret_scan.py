@@ -1,5 +1,6 @@
 """Secret scans: patterns for well-known forms, and two character Markov models, of random strings and of ordinary
-identifiers, compared by their log-likelihood ratio on every long run of identifier characters.
+identifiers, compared by their log-likelihood ratio on every long run of identifier characters, and on the parts of a run that is
+not random as a whole (a key behind a path or a name).
 
 The models are trained from labelled samples that are made here from a fixed seed: random strings over the usual key
 alphabets, and identifiers joined from common words in the usual spellings, with years, counters and versions. They
@@ -16,6 +17,7 @@ import math
 import random
 import re
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -34,6 +36,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}")
 #: Log-likelihood ratio per character from which a run counts as random.
 LEAST_RATIO = 0.55
+LEAST_CHARS, DROP = 16, 8.0
 MASK = "[secret]"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_+/=-"
 COMMON = """account action active address admin after agent alert apply archive area array article asset async author auto back
@@ -112,14 +115,43 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def random_parts(s: str) -> list[tuple[int, int]]:
+    """(start, end) of what counts as random in a run: all of it by its mean, or else its parts of LEAST_CHARS or more whose
+    ratios exceed LEAST_RATIO by the largest sum, widened to whole words; a fall of DROP below that sum parts two of them."""
+    if ratio(s) >= LEAST_RATIO:
+        return [(0, len(s))]
+    r = ratios()
+    sums = [0.0, *accumulate(r[s[i : i + 2]] - LEAST_RATIO for i in range(len(s) - 1))]
+    out, best, low, j = [], None, 0, LEAST_CHARS - 1
+    while j < len(s):
+        low = min(low, j - LEAST_CHARS + 1, key=sums.__getitem__)
+        now = sums[j] - sums[low]
+        if now >= 0 and (best is None or now > best[0]):
+            best = now, low, j + 1
+        elif best and best[0] - now > DROP:
+            out.append(best[1:])
+            low, j, best = best[2], best[2] + LEAST_CHARS - 2, None
+        j += 1
+    wide, at = [], 0
+    for a, b in out + ([best[1:]] if best else []):
+        if b > at:
+            a = max(a, at)
+            while a > at and (s[a - 1].isalnum() or s[a - 1] == "+"):
+                a -= 1
+            while b < len(s) and (s[b].isalnum() or s[b] in "+="):
+                b += 1
+            wide.append((a, b))
+            at = b
+    return wide
+
+
 def model_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     out = []
     for m in RUN.finditer(text):
         s, (a, b) = m[0], m.span()
         if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)) or any(a < e and x < b for x, _, e in base):
             continue
-        if ratio(s) >= LEAST_RATIO:
-            out.append((a, 3, b))
+        out += [(a + x, 3, a + y) for x, y in random_parts(s)]
     return out
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from stemma.llm import secret_scan as S
@@ -53,3 +54,20 @@ def test_redact(spark, docs):
     assert out.columns == d.columns and out.dtypes == d.dtypes
     got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
     assert got == {1: ('x [secret]" y', 13), 2: (None, None), 3: ("clean", 5), 4: ("[secret]", 8)}
+
+
+def test_keys_behind_paths_and_names():
+    r = random.Random(4)
+    for before, after in (("/service/client/session/", ""), ("service/account/private/access/", ""), ("aws_secret_access_key=", ""), ("/service/client/", "/session/handler")):
+        for n in (20, 32, 40):
+            keys = [k for k in ("".join(r.choice(S.ALPHABET[:62]) for _ in range(n)) for _ in range(200)) if S.masked(k) == S.MASK]
+            texts = [f"at https://host{'' if before[0] == '/' else ' '}{before}{k}{after} end" for k in keys]
+            assert sum(k not in S.masked(t) for k, t in zip(keys, texts)) >= 0.97 * len(keys) > 150
+    two = "".join(r.choice(S.ALPHABET[:62]) for _ in range(32)), "".join(r.choice(S.ALPHABET[:62]) for _ in range(32))
+    got = S.masked(f"service/{two[0]}/client/session/handler/account/private/{two[1]}/view")
+    assert got.count(S.MASK) == 2 and "/client/session/handler/" in got and not any(k in got for k in two)
+
+
+def test_paths_and_names_stay():
+    _, plain = S.samples(seed=78, n=2000)
+    assert sum(S.spans(f"{a}/{b}={c}") != ([], []) for a, b, c in zip(plain, plain[1:], plain[2:])) / len(plain) < 0.01

@@ -32,7 +32,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 KEYS = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: Candidates of the model: runs with a digit and a letter, as random keys of 16 characters have almost surely.
+#: Candidates of the model: runs with a letter (numbers, dates and rules of dashes are none). Without a digit, a part must
+#: have so many different characters, as random letters have almost surely; "aaaaaaaaaaaaaaaa" hasn't.
+LEAST_LETTERS = 8
 RUN = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}")
 #: Log-likelihood ratio per character from which a run counts as random.
 LEAST_RATIO = 0.55
@@ -145,13 +147,18 @@ def random_parts(s: str) -> list[tuple[int, int]]:
     return wide
 
 
+def varied(s: str) -> bool:
+    """Whether a part has a letter, and a digit or at least LEAST_LETTERS different characters."""
+    return any(c.isalpha() for c in s) and (any(c.isdigit() for c in s) or len(set(s)) >= LEAST_LETTERS)
+
+
 def model_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     out = []
     for m in RUN.finditer(text):
         s, (a, b) = m[0], m.span()
-        if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)) or any(a < e and x < b for x, _, e in base):
+        if not any(c.isalpha() for c in s) or any(a < e and x < b for x, _, e in base):
             continue
-        out += [(a + x, 3, a + y) for x, y in random_parts(s)]
+        out += [(a + x, 3, a + y) for x, y in random_parts(s) if varied(s[x:y])]
     return out
 
 

@@ -71,3 +71,15 @@ def test_keys_behind_paths_and_names():
 def test_paths_and_names_stay():
     _, plain = S.samples(seed=78, n=2000)
     assert sum(S.spans(f"{a}/{b}={c}") != ([], []) for a, b, c in zip(plain, plain[1:], plain[2:])) / len(plain) < 0.01
+
+
+def test_keys_without_digits():
+    r = random.Random(6)
+    for letters, least in ((S.ALPHABET[:52], 0.98), (S.ALPHABET[:26], 0.95), (S.ALPHABET[26:52], 0.95)):
+        keys = ["".join(r.choice(letters) for _ in range(24)) for _ in range(500)]
+        assert sum(S.masked(f"see {k} here") == f"see {S.MASK} here" for k in keys) >= least * len(keys)
+        assert sum(k not in S.masked(f"service/client/session/{k}") for k in keys) >= least * len(keys)
+    plain = [x for x in S.samples(seed=79, n=4000)[1] if not any(c.isdigit() for c in x)]
+    assert sum(S.spans(x) != ([], []) for x in plain) / len(plain) < 0.005
+    for t in ("a" * 40, "-" * 40, "=" * 40, "_" * 40, "1234567890" * 4, "2024-01-28-2024-01-29", "internationalization", "Geschwindigkeitsbegrenzung"):
+        assert S.model_spans(t, []) == []

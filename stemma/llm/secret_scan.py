@@ -153,12 +153,19 @@ def varied(s: str) -> bool:
 
 
 def model_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Random parts of the long runs; of a run that overlaps the patterns' spans, of what they leave."""
     out = []
     for m in RUN.finditer(text):
-        s, (a, b) = m[0], m.span()
-        if not any(c.isalpha() for c in s) or any(a < e and x < b for x, _, e in base):
-            continue
-        out += [(a + x, 3, a + y) for x, y in random_parts(s) if varied(s[x:y])]
+        a, b = m.span()
+        left = []
+        for x, _, e in base:
+            if a < e and x < b:
+                left.append((a, x))
+                a = max(a, e)
+        for a, b in [*left, (a, b)]:
+            s = text[a:b]
+            if len(s) >= LEAST_CHARS and any(c.isalpha() for c in s):
+                out += [(a + x, 3, a + y) for x, y in random_parts(s) if varied(s[x:y])]
     return out
 
 

@@ -97,7 +97,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out:
             yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "i": [x[0].tobytes() for x in got], "v": [x[1].tobytes() for x in got]})
 
     rows_ = pick(docs, doc_id="bigint", text="string").join(F.broadcast(small), "doc_id").mapInPandas(run, "doc_id bigint, y int, i binary, v binary")
-    got = rows_.limit(4 * rows).collect()  # the same document may occur more than once
+    # A document that occurs more than once counts once, with the smallest of its features: at most `rows` rows.
+    got = rows_.groupBy("doc_id", "y").agg(F.min(F.struct("i", "v")).alias("x")).select("doc_id", "y", "x.*").collect()
     return sorted(((r.doc_id, r.y, np.frombuffer(r.i, np.int32), np.frombuffer(r.v, np.float32)) for r in got), key=lambda r: (r[0], r[2].tobytes()))
 
 

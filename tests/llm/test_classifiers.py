@@ -104,3 +104,15 @@ def test_labels_of_the_held_out_fold_change_nothing(spark, docs, corpus):
         other = [(i, 1 - q, 1 - t) if zlib.crc32(str(i).encode()) % parts == out else (i, q, t) for i, q, t in labels]
         a, b = ({r.doc_id: r.score for r in module.score_table(docs(rows), table(spark, x)).collect()} for x in (labels, other))
         assert a == b
+
+
+def test_a_recurring_document_leaves_the_others_in_the_fit(spark, docs, corpus):
+    rows, labels = corpus
+    once = Q.learn(docs(rows), table(spark, labels), "quality", 3, 1, 20, Q.example)
+    assert len(once) == 20
+    hot, text = once[0][0], dict(rows)[once[0][0]]
+    more = rows + [(hot, text)] * 300 + [(hot, "~ another text")] * 300
+    a, b = (Q.learn(docs(x).repartition(n), table(spark, labels), "quality", 3, 1, 20, Q.example) for x, n in ((more, 3), (more[::-1], 5)))
+    assert [r[0] for r in a] == [r[0] for r in b] == [r[0] for r in once]
+    assert all(np.array_equal(x[2], y[2]) and np.array_equal(x[3], y[3]) for x, y in zip(a, b))
+    assert all(np.array_equal(x[2], y[2]) for x, y in zip(a[1:], once[1:]))

@@ -21,12 +21,17 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where the setting is missing (tests, local mode)."""
+    """The folder named by spark.checkpoint.dir. Where the setting is missing, a temporary one, but only in local mode: on a
+    cluster, executors and driver would each see their own."""
     sc = spark.sparkContext
     have = sc._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get()
-    root = sc.getConf().get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/stemma-checkpoints"
+    root = sc.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        root = f"{tempfile.gettempdir()}/stemma-checkpoints"
     sc.setCheckpointDir(root)
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -42,6 +47,32 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a path that this job made."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop(df: DataFrame) -> None:
+    """Deletes what cut wrote for df, which nothing may read any more."""
+    file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        remove(df.sparkSession, file.get())
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, like this one."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts

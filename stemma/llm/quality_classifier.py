@@ -3,13 +3,15 @@ updates, scored as sparse dot products.
 
 Defined cases: a null or empty text has no words and is scored by the bias feature alone; without labelled rows of
 the learning folds, or with one class only, the model is all zero weights or whatever that class teaches (scores
-from 0.5 up or down); repeated rows are scored each; a document's label is the largest of its label rows; rows of
-labels with null doc_id or label are ignored. Extra columns are ignored by score_table and kept by keep_good."""
+from 0.5 up or down); an empty table gives no rows; texts and words are read whole at any length; equal texts get equal
+scores and repeated rows are scored each; a document's label is the largest of its label rows; rows of labels with null
+doc_id or label are ignored. Extra columns are ignored by score_table and kept by keep_good."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -17,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ftrl
-from .common import fold, kept, only, pick, small_batches, table
+from .common import cut, fold, kept, only, pick, small_batches, table
 
 DIMS = 1 << 18
 #: Documented bound: so many labelled documents of the learning folds are used for fitting, chosen by a hash of their id.
 TRAIN_ROWS = 6000
+#: Documented bound: so many bytes of their features at most.
+TRAIN_BYTES = 200_000_000
 THRESHOLD = 0.5
 SCALE = 24.0
 CACHE = 200_000
@@ -31,7 +35,7 @@ BIAS, AGAIN = 0, 1
 
 def shape(word: str) -> str:
     """The word's kinds of character, runs as one: a lower, A upper, 0 digit, others as they are."""
-    s = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    s = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return re.sub(r"(.)\1+", r"\1", s)
 
 
@@ -81,25 +85,44 @@ def score_texts(texts, weights: np.ndarray) -> np.ndarray:
     return ftrl.sigmoid(out)
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, rows: int, featurise) -> list[tuple]:
-    """(doc_id, label, indices, values) of at most `rows` labelled documents outside the held-out fold, in a fixed order."""
+def sampled(docs: DataFrame, parts: int, held_out: int, rows: int) -> DataFrame:
+    """doc_id of about `rows` different documents outside the held-out fold, whether labelled or not: those whose hash is
+    small, so that one look at the ids' column finds them."""
+    ids = pick(docs, doc_id="bigint").dropna()
+    share = min(1.0, 1.2 * rows / max(1, docs.count()))
+    some = ids.where((fold(F.col("doc_id"), parts) != held_out) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30))))
+    return some.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, rows: int, featurise, more: int = 0) -> list[tuple]:
+    """(doc_id, label, indices, values) of at most `rows` labelled documents outside the held-out fold, and of at most
+    `more` others (label None) that a hash of their ids chooses, in a fixed order. A document that occurs more than once
+    counts once, with the smallest of its features. Documented bound: of these, in the order of their ids' hash, as many
+    as TRAIN_BYTES of features hold."""
     spark = docs.sparkSession
     small_batches(spark)
     lab = pick(labels, doc_id="bigint", **{label: "int"}).dropna().groupBy("doc_id").agg(F.max(label).alias("y"))
     lab = lab.where(fold(F.col("doc_id"), parts) != held_out)
-    chosen = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    ids = {r[0]: r[1] for r in chosen.collect()}  # at most `rows` pairs
+    ids = {r[0]: r[1] for r in lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()}  # at most `rows` pairs
+    if more:
+        other = sampled(docs, parts, held_out, more).join(lab, "doc_id", "left")
+        ids = {r[0]: r[1] for r in other.collect()} | ids
     small = spark.createDataFrame(list(ids.items()) or [(-1, 0)], "doc_id bigint, y int").where(F.lit(bool(ids)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = [featurise(t) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "i": [x[0].tobytes() for x in got], "v": [x[1].tobytes() for x in got]})
-
-    rows_ = pick(docs, doc_id="bigint", text="string").join(F.broadcast(small), "doc_id").mapInPandas(run, "doc_id bigint, y int, i binary, v binary")
-    # A document that occurs more than once counts once, with the smallest of its features: at most `rows` rows.
-    got = rows_.groupBy("doc_id", "y").agg(F.min(F.struct("i", "v")).alias("x")).select("doc_id", "y", "x.*").collect()
-    return sorted(((r.doc_id, r.y, np.frombuffer(r.i, np.int32), np.frombuffer(r.v, np.float32)) for r in got), key=lambda r: (r[0], r[2].tobytes()))
+            yield pd.DataFrame({"doc_id": b["doc_id"], "i": [x[0].tobytes() for x in got], "v": [x[1].tobytes() for x in got]})
+
+    found = pick(docs, doc_id="bigint", text="string").join(F.broadcast(small.select("doc_id")), "doc_id").mapInPandas(run, "doc_id bigint, i binary, v binary")
+    found = cut(found.groupBy("doc_id").agg(F.min(F.struct("i", "v")).alias("x")).select("doc_id", "x.*"))
+    size = F.octet_length("i") + F.octet_length("v")
+    sizes = found.select("doc_id", size.alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # two numbers a row
+    upto = accumulate(r.n for r in sizes)
+    fits = [r.doc_id for r, n in zip(sizes, upto, strict=True) if n <= TRAIN_BYTES]
+    if len(fits) < len(sizes):
+        found = found.join(F.broadcast(spark.createDataFrame([(x,) for x in fits], "doc_id bigint")), "doc_id", "left_semi")
+    return sorted(((r.doc_id, ids[r.doc_id], np.frombuffer(r.i, np.int32), np.frombuffer(r.v, np.float32)) for r in found.collect()), key=lambda r: r[0])
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray:

@@ -1,18 +1,22 @@
-"""Toxicity by weak supervision. Voters (built-in lexicons, patterns, lexicons mined from the learning folds, and the
-annotators' label as one more voter) vote on the learning sample; a generative model, fitted by expectation and
-maximisation, estimates each voter's rates under either class and the correlations between voters, by which voters that
-say the same share their weight; its posteriors are the soft targets of a linear classifier over hashed words and word
-beginnings, and that classifier alone scores every document.
-
-Defined cases: a null or empty text scores as the bias says; without learning rows the built-in lexicons alone decide
-(a fixed weight each); repeated rows are scored each; rows of labels with null doc_id or label are ignored and of
-several labels of a document the largest holds. Extra columns are ignored by score_table, kept by drop_toxic."""
+"""Toxicity by weak supervision. Voters vote on a learning sample of labelled and unlabelled documents: lexicons, patterns,
+words that keep company with the lexicons' words, lexicons mined from the labels, and the annotators, who abstain on what
+they haven't seen. A generative model, fitted by expectation and maximisation, estimates each voter's rates under either
+class and the correlations between voters, by which voters that say the same share their weight. Its posteriors are the
+soft targets of a linear classifier over hashed words and word beginnings, and that classifier alone scores every
+document. Without any labels the method is the same: the annotators then abstain throughout.
+
+Defined cases: a null or empty text scores as the bias says; without learning rows every text has the score that no
+vote gives (RARE); an empty table gives no rows; where no voter ever speaks the bias alone is learned; labels of one class
+only are votes like any others; repeated rows are scored each; rows of labels with null doc_id or label are ignored and of
+several labels of a document the largest holds; texts are read whole at any length. Extra columns are ignored by
+score_table and kept by drop_toxic."""
 
 from __future__ import annotations
 
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,24 +28,40 @@ from .common import fold, kept, only, pick, table
 from .quality_classifier import learn
 
 DIMS = 1 << 18
-#: Documented bound: labelled documents of the learning folds used for fitting, chosen by a hash of their id.
-TRAIN_ROWS = 8000
+#: Documented bounds: documents of the learning folds used for fitting, by a hash of their id: so many with a label, and
+#: so many whether labelled or not.
+TRAIN_ROWS, MORE_ROWS = 8000, 4000
 THRESHOLD = 0.3
-ALPHA, L1, EPOCHS = 0.3, 1.5, 8
+ALPHA, L1, EPOCHS = 0.3, 1.5, 5
 CACHE = 200_000
 BIAS = 0
-MINED_VOTERS = 12
+MINED_VOTERS, COMPANY_VOTERS = 12, 3
+#: Share of its documents, with a margin for chance, that a mined feature needs among labelled ones, a company feature
+#: among those where a lexicon speaks.
+LIKELY, COMPANY = 0.5, 0.75
 WORD = re.compile(r"[^\W\d_]+")
 #: Built-in lexicons, a voter each (fixed values).
 LEXICONS = {
-    "wits": "idiot idiots moron morons stupid dumb dumbass fool imbecile clown clowns cretin dimwit halfwit idiota imbécile dummkopf",
-    "worth": "loser losers worthless pathetic useless scum trash garbage vermin filth lowlife parasite abschaum perdedor",
-    "disgust": "disgusting repulsive vile gross sickening revolting creep freak pervert asqueroso widerlich dégoûtant",
-    "abuse": "bitch bastard asshole shit fuck fucking crap jerk whore slut wanker arschloch scheisse puta mierda merde connard salope",
-    "threat": "kill die murder hang burn strangle punch hate",
+    "wits": "idiot idiots moron morons stupid dumb dumbass fool imbecile clown clowns cretin dimwit halfwit",
+    "worth": "loser losers worthless pathetic useless scum trash garbage vermin filth lowlife parasite",
+    "disgust": "disgusting repulsive vile gross sickening revolting creep freak pervert",
+    "abuse": "bitch bastard asshole shit fuck fucking crap jerk whore slut wanker",
+    "threat": "kill murder hang burn strangle punch hate",
+    "german": "dummkopf trottel vollidiot depp arschloch scheisse abschaum widerlich erbärmlich versager",
+    "french": "imbécile crétin connard connasse salope merde dégoûtant minable raclure ordure",
+    "spanish": "idiota estúpido imbécil patético asqueroso escoria basura perdedor puta mierda",
 }
-LEXICON_WEIGHT = {"wits": 2.5, "worth": 2.5, "disgust": 2.0, "abuse": 3.0, "threat": 0.5}
-PATTERNS = [re.compile(r"\byou(?:'re| are)? (?:an? )?(?:\w+ )?(?:idiot|moron|loser|fool|clown)", re.I), re.compile(r"\bshut up\b|\bget lost\b|\bgo away\b", re.I)]
+INSULTS = {w for x in LEXICONS.values() for w in x.split()}
+PATTERNS = [
+    re.compile(r"\byou(?:'re| are)? (?:an? )?(?:\w+ )?(?:idiot|moron|loser|fool|clown)", re.I),
+    re.compile(r"\bshut up\b|\bget lost\b|\bgo away\b", re.I),
+    re.compile(r"\b(?:du|sie sind|tu es|vous êtes|eres) (?:ein |eine |un |une )?(?:idiot|idiota|trottel|crétin|imbécil)", re.I),
+]
+#: Chance of class 1 before any vote.
+RARE = 0.05
+#: What the label model holds of the annotators before it has seen any vote: their rates of a positive vote in class 0 and
+#: 1, and how many votes that belief is worth.
+RATES, TRUST = (0.02, 0.9), 50.0
 
 
 def bucket(s: str, salt: int) -> int:
@@ -49,13 +69,13 @@ def bucket(s: str, salt: int) -> int:
 
 
 class Words(dict):
-    """Word -> its hashed features: itself and its beginnings of 4 and 5 letters."""
+    """Word -> its hashed features: itself and its beginnings of 4 to 6 letters."""
 
     def __missing__(self, word: str) -> tuple:
         if len(self) >= CACHE:
             self.clear()
         low = word.lower()
-        self[word] = v = tuple({bucket(low, 1), bucket(low[:5], 2), bucket(low[:4], 3)})
+        self[word] = v = tuple({bucket(low, 1), *(bucket(low[:n], n) for n in range(4, 7))})
         return v
 
 
@@ -63,94 +83,104 @@ _words = kept(Words())
 
 
 def indices(text: str | None) -> np.ndarray:
-    """Distinct hashed features of a whole text, the bias first."""
-    out = {BIAS}
-    out.update(*map(_words.__getitem__, set(WORD.findall(text or ""))))
-    return np.fromiter(out, np.int32, len(out))
+    """Distinct hashed features of a whole text, the bias first: words, their beginnings, and beginnings that several
+    different words share."""
+    words = set(WORD.findall(text or ""))
+    if not words:
+        return np.zeros(1, np.int32)
+    found, n = np.unique(np.fromiter(chain.from_iterable(map(_words.__getitem__, words)), np.int64), return_counts=True)
+    several = 1 + (found[n > 1] * 2654435761 + 97 >> 5) % (DIMS - 1)
+    return np.unique(np.concatenate([[BIAS], found, several])).astype(np.int32)
 
 
 def example(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Features, and in place of their values the votes of the built-in voters (0 or 1 each)."""
     words = {w.lower() for w in WORD.findall(text or "")}
     votes = [bool(words & set(x.split())) for x in LEXICONS.values()] + [bool(p.search(text or "")) for p in PATTERNS]
-    return indices(text), np.array(votes, np.float32)
+    return indices(text), np.array([*votes, len(words & INSULTS) > 1], np.float32)
 
 
-def mine(rows, y) -> dict[int, int]:
-    """Feature -> mined voter. A feature is mined if, with a margin for chance, most documents that hold it are labelled;
-    a beginning of words or a word that also occurs in clean documents is left out. Neighbouring strengths share a voter."""
-    n1, n0 = np.zeros(DIMS), np.zeros(DIMS)
-    for (i, _), label in zip(rows, y, strict=True):
-        (n1 if label else n0)[i] += 1
-    n = n1 + n0
+def telling(rows, marked: np.ndarray, least: float) -> np.ndarray:
+    """Features that, with a margin for chance, are in marked rows for more than `least` of their rows, strongest first."""
+    n1, n = np.zeros(DIMS), np.zeros(DIMS)
+    for (i, _), m in zip(rows, marked, strict=True):
+        n[i] += 1
+        if m:
+            n1[i] += 1
     with np.errstate(divide="ignore", invalid="ignore"):
         p = n1 / n
         low = (p + 2 / n - 2 * np.sqrt(p * (1 - p) / n + 1 / n**2)) / (1 + 4 / n)  # Wilson's lower bound
     low[(n < 3) | ~np.isfinite(low)] = 0
     low[BIAS] = 0
-    found = np.flatnonzero(low > max(0.3, 1.5 * y.mean()))
-    found = found[np.argsort(-low[found], kind="stable")][:4096]
-    return {int(f): k * MINED_VOTERS // len(found) for k, f in enumerate(found)}
-
-
-def votes_of(rows, mined: dict[int, int], y) -> np.ndarray:
-    """One row of votes in -1..1 per document: built-in voters, mined voters, whether any of these spoke, the annotators."""
-    out = []
-    for (i, built), label in zip(rows, y, strict=True):
-        m = np.zeros(MINED_VOTERS)
-        for f in i.tolist():
-            if (k := mined.get(f)) is not None:
-                m[k] = 1
-        v = np.concatenate([built, m])
-        out.append([*v, v.any(), label])
-    return 2 * np.array(out, float) - 1
-
-
-def label_model(votes: np.ndarray, steps: int = 20) -> np.ndarray:
-    """Posterior of class 1 per row, by expectation and maximisation over votes in -1..1, the annotators' last. A voter's
-    rates of a positive vote in either class are its accuracy; the correlations of the voters within classes say how much
-    of its evidence is its own: of voters that always agree, each counts for its share."""
-    v = (votes > 0).astype(float)
-    post = np.clip(0.6 * v[:, -1] + 0.4 * v[:, :-1].mean(1), 0.02, 0.98)
+    found = np.flatnonzero(low > least)
+    return found[np.argsort(-low[found], kind="stable")]
+
+
+def group_votes(rows, found: np.ndarray, voters: int) -> np.ndarray:
+    """Votes of so many voters, each with an equal share of the features: 1 where a row has one of its features."""
+    group = np.full(DIMS, voters)
+    group[found] = np.arange(len(found)) * voters // max(1, len(found))
+    out = np.zeros((len(rows), voters + 1))
+    for k, (i, _) in enumerate(rows):
+        out[k, group[i]] = 1
+    return out[:, :voters]
+
+
+def votes_of(rows, y: np.ndarray) -> np.ndarray:
+    """A row of votes per document: built-in voters, company voters (features that go with the built-in lexicons' words),
+    voters mined from the labels, and last the annotators: 1, 0, or not a number where they abstain."""
+    built = np.array([b for _, b in rows], float)
+    spoke, seen = built.any(1), ~np.isnan(y)
+    company = group_votes(rows, telling(rows, spoke, COMPANY), COMPANY_VOTERS)
+    some = [r for r, s in zip(rows, seen, strict=True) if s]
+    mined = telling(some, y[seen] > 0, max(LIKELY, 1.5 * y[seen].mean())) if some and 0 < y[seen].mean() < 1 else np.zeros(0, int)
+    return np.column_stack([built, company, group_votes(rows, mined, MINED_VOTERS), y])
+
+
+def label_model(votes: np.ndarray, steps: int = 30) -> np.ndarray:
+    """Posterior of class 1 per row, by expectation and maximisation over votes of 1, 0 or none (nan), the annotators' last.
+    A voter's rates of a positive vote in either class are its accuracy; the correlations of the voters within classes say
+    how much of its evidence is its own: of voters that always agree, each counts for its share."""
+    seen = ~np.isnan(votes)
+    v = np.where(seen, votes, 0.0)
+    trust = np.zeros(v.shape[1])
+    trust[-1] = TRUST
+    said = v[:, :-1].sum(1)
+    post = RARE + (1 - 2 * RARE) * np.where(seen[:, -1], v[:, -1], said / max(1.0, said.max()))
     for _ in range(steps):
         n1, n0 = post.sum(), (1 - post).sum()
-        p1, p0 = (post @ v + 0.5) / (n1 + 1), ((1 - post) @ v + 0.5) / (n0 + 1)
-        off = v - (post[:, None] * p1 + (1 - post)[:, None] * p0)
-        cov = off.T @ off / len(v)
+        p1 = (post @ v + trust * RATES[1] + 0.5) / (post @ seen + trust + 1)
+        p0 = ((1 - post) @ v + trust * RATES[0] + 0.5) / ((1 - post) @ seen + trust + 1)
+        off = np.where(seen, v - (post[:, None] * p1 + (1 - post)[:, None] * p0), 0.0)
+        both = seen.T.astype(float) @ seen
+        cov = off.T @ off / np.maximum(both, 1)
         spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
         share = 1 / np.maximum(0, cov / np.outer(spread, spread)).sum(1).clip(1)  # 1 with itself
-        logit = np.log(n1 / n0) + v @ (share * np.log(p1 / p0)) + (1 - v) @ (share * np.log((1 - p1) / (1 - p0)))
+        share[-1] = 1  # others are mined from the annotators' votes, not they from others
+        logit = np.log(max(n1, 1e-9) / max(n0, 1e-9)) + v @ (share * np.log(p1 / p0)) + (seen - v) @ (share * np.log((1 - p1) / (1 - p0)))
         new = np.clip(ftrl.sigmoid(logit), 1e-4, 1 - 1e-4)
-        if np.abs(new - post).max() < 1e-4:
-            break
+        done = np.abs(new - post).max() < 1e-4
         post = new
+        if done:
+            break
     return post
 
 
-def built_in() -> np.ndarray:
-    w = np.zeros(DIMS, np.float32)
-    for name, words in LEXICONS.items():
-        for x in words.split():
-            w[bucket(x, 1)] = LEXICON_WEIGHT[name]
-    w[BIAS] = -2.0
-    return w
-
-
 def fit(rows, y) -> np.ndarray:
-    """rows: (indices, built-in votes); y: labels."""
-    y = np.asarray(y, float)
+    """rows: (indices, built-in votes); y: labels, None where there is none."""
+    y = np.array([np.nan if x is None else x for x in y], float)
     if not len(y):
-        return built_in()
-    if y.min() == y.max():
-        return built_in()
-    post = label_model(votes_of(rows, mine(rows, y), y))
+        w = np.zeros(DIMS, np.float32)
+        w[BIAS] = np.log(RARE / (1 - RARE))
+        return w
+    post = label_model(votes_of(rows, y))
     data = [(i, np.ones(len(i), np.float32)) for i, _ in rows]
     # Evidence only adds up: what a clean word says must not outweigh an insult in a long text.
     return ftrl.fit(data, post, np.ones(len(y)), DIMS, alpha=ALPHA, l1=L1, epochs=EPOCHS, free=[BIAS])
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray:
-    got = learn(docs, labels, "toxic", 4, 2, rows, example)
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, more: int = MORE_ROWS) -> np.ndarray:
+    got = learn(docs, labels, "toxic", 4, 2, rows, example, more)
     return fit([r[2:] for r in got], [r[1] for r in got])
 
 

@@ -9,7 +9,8 @@ Within a rank, positions are taken from left to right, and a lower rank that a m
 of the bucket: that is the order of merging one pre-token at a time.
 
 Defined cases: a null text is an empty one (no ids, digests of nothing); a null doc_id stays null; repeated rows are
-encoded each; characters that UTF-8 can't hold become "?" as Python's "replace" does. Extra columns are ignored."""
+encoded each; characters that UTF-8 can't hold become "?" as Python's "replace" does; texts are encoded whole at any
+length; an empty table gives no rows. Extra columns are ignored."""
 
 from __future__ import annotations
 
@@ -25,7 +26,8 @@ from pyspark.sql import DataFrame
 
 from .common import kept, map_texts, only, table
 
-CACHE = 1_000_000
+#: Bytes of pre-tokens and ids up to which a worker remembers them, and what an entry costs besides.
+CACHE, ENTRY = 300_000_000, 200
 BLOCK = 256
 
 
@@ -56,10 +58,11 @@ class Bpe:
         self.vocab = [b""] * self.size
         for token, r in ranks.items():
             self.vocab[r] = token
-        self.known: dict[str, bytes] = {}
+        self.clear()
 
     def clear(self) -> None:
-        self.known = {}
+        self.known: dict[str, bytes] = {}
+        self.held = 0  # about so many bytes
 
     def merge_all(self, words: list[bytes]) -> list[list[int]]:
         """The ids of each of these byte strings."""
@@ -152,8 +155,10 @@ class Bpe:
             for k, ids in zip(left, self.merge_all([got[k] for k in left]), strict=True):
                 known[new[k]] = np.array(ids, "<u4").tobytes()
             out += [b"".join(map(known.__getitem__, ws)) for ws in split]
-            if len(known) > CACHE:
-                known.clear()
+            self.held += ENTRY * len(new) + 8 * sum(map(len, new))
+            if self.held > CACHE:
+                self.clear()
+                known = self.known
         return out
 
     def decode(self, ids: bytes) -> bytes:

@@ -59,3 +59,11 @@ def test_table(spark, docs, odd_texts, reference):
         want.append((i, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
     assert B.encode_table(docs([])).collect() == []
+
+
+def test_the_cache_is_bounded_by_bytes(monkeypatch, reference):
+    monkeypatch.setattr(B, "CACHE", 100_000)
+    bpe = B.Bpe(B.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    texts = [" ".join(f"w{i}x{k}" for i in range(200)) for k in range(40)] + ["q" * 60_000, "after"]
+    got = [x for t in texts for x in bpe.encode_batch([t])]
+    assert got == [np.array(reference.encode_ordinary(t), "<u4").tobytes() for t in texts] and bpe.held <= 100_000 and len(bpe.known) < 600

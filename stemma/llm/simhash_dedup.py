@@ -15,7 +15,8 @@ names its neighbours within two bits, and two fingerprints within four bits alwa
 
 Defined cases: a null text is an empty one; a text without words has fingerprint zero; repeated rows get a row each; a
 null doc_id is never a component's smallest id, and a component of null ids only has a null component_id; an empty
-table gives no rows. Extra columns are ignored by dedup_table and kept by keep_first."""
+table gives no rows; texts are read whole at any length. Extra columns are ignored by dedup_table and kept by keep_first,
+whatever their names."""
 
 from __future__ import annotations
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, only, pick, small_batches, table
+from .common import cut, only, pick, quoted, small_batches, table, unused
 from .components import components
 
 WORDS = 4
@@ -289,11 +290,11 @@ def dedup_table(docs: DataFrame, hot: int = HOT) -> DataFrame:
 def keep_first(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id, one row, with all its columns."""
     first = grouped(docs).where(F.coalesce("doc_id", F.lit(NONE)) == F.col("comp")).groupBy("class", "comp").agg(F.min("th").alias("first_th"))
-    id_, th = "__first_id", "__first_th"
+    id_, th = unused(docs, "first_id"), unused(docs, "first_th")
     marked = docs.withColumn(id_, F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NONE))).withColumn(th, text_hash(docs["text"]))
     # Of null ids there may be several components: their id is told apart by the text's hash only.
     kept = marked.join(first.select(F.col("comp").alias(id_), F.col("first_th").alias(th)), [id_, th], "left_semi")
-    return kept.dropDuplicates([id_, th]).select(*docs.columns)
+    return kept.dropDuplicates([id_, th]).select(*map(quoted, docs.columns))
 
 
 def op4_simhash_dedup(spark, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ gathered by diagonal, neighbouring diagonals (words put in or left out) are merg
 template words that its grams cover, word for word, and its length. DataFrame operations only.
 
 Defined cases: a null text is an empty one (no words); a text shorter than a gram has no hits; a null doc_id stays null;
-repeated rows are scanned each; overlapping places all count. Extra columns are ignored. Only the small template table
+repeated rows are scanned each; overlapping places all count; of several templates of a label the best share is its
+score; texts are scanned whole at any length; an empty table gives no rows. Extra columns are ignored. Only the small template table
 is broadcast (under 1,000 rows)."""
 
 from __future__ import annotations

@@ -2,7 +2,8 @@
 Built-in functions only.
 
 Defined cases: a null text is an empty one; a document without words has zero counts and fails (fewer than 50 words);
-repeated rows are judged each; a null doc_id stays null. Extra columns are ignored. Ratios over zero count as zero.
+repeated rows are judged each; a null doc_id stays null; texts are measured whole at any length; an empty table gives no
+rows; a measure that equals its bound passes. Extra columns are ignored. Ratios over zero count as zero.
 
 The words of a 3-word window found twice or more are counted without comparing all pairs: the windows' hashes are sorted
 beside their places, equal neighbours give the repeated windows, and the places they cover are counted once each."""

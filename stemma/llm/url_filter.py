@@ -4,7 +4,8 @@ on the first 32 bits of their digests, and the full digest and the rules' preced
 Defined cases: a null url, or one without "://", has an empty host and path and fits no rule; a url without a rule gets
 the default verdict; the longest fitting rule (host and path together) wins, then the longer host, then block before
 allow; of repeated pages each is judged; rules with a null host or verdict are dropped, a null path means "/"; an empty
-rule table leaves the default to all. Extra columns of either table are ignored.
+rule table leaves the default to all; an empty table of pages gives no rows; urls are judged whole at any length. Extra
+columns of either table are ignored.
 
 The expansion makes, for a url, at most (most labels of a rule's host) x (distinct lengths of the rules' paths)
 expressions, and neither bound drops anything: longer ones can't equal a rule."""

@@ -2,11 +2,13 @@
 independently in randomised groups of documents.
 
 A document's ids are cut into full sequences and one remainder; the remainders of a group are packed. Groups are dealt
-by a hash, some thousand documents each, so that no group grows with the input; only sizes and checksums are shuffled.
+by a hash of their place in the table, some thousand documents each, so that no group grows with the input, whatever
+recurs in it; only sizes and checksums are shuffled.
 
 Defined cases: a null text is an empty one (one sequence id, the end mark); repeated rows are packed each, told apart by
 nothing but their pieces' places; a null doc_id is a document like any other; ties of length are packed by doc_id, then
-by checksum; an empty table gives no rows. Extra columns are ignored."""
+by checksum; a string of the tokenizer's special tokens in a text is that token, as the tokenizer has it; texts are
+encoded whole at any length; an empty table gives no rows. Extra columns are ignored."""
 
 from __future__ import annotations
 
@@ -24,7 +26,8 @@ from .common import kept, map_texts, only, pick, table
 LIMIT = 1024
 END = 0
 GROUP = 2048
-CACHE = 900_000
+#: Bytes up to which a worker remembers ids, what an entry costs besides its characters, and the longest part remembered.
+CACHE, ENTRY, LONG = 300_000_000, 200, 4096
 #: How byte-level vocabularies write a space, and how many parts are encoded as one text.
 SPACE, RUN = "Ġ", 512
 CUTS = re.compile(r"(?<=\S) (?=\S)")
@@ -63,14 +66,15 @@ def first_fit_decreasing(sizes: list[int], room: int = LIMIT) -> list[int]:
 
 
 class Tokens:
-    """Whole texts to id bytes (little-endian unsigned 32-bit). A space between two other characters always begins a
-    pre-token, so texts are cut there, and what recurs between spaces is encoded once."""
+    """Whole texts to id bytes (little-endian unsigned 32-bit), by the tokenizer as its file gives it. A space between two
+    other characters always begins a pre-token, so texts are cut there, and what recurs between spaces is encoded once.
+    Texts that hold a string of the tokenizer's added tokens are encoded uncut."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.clear()
 
         spaced = [k for t, k in self.tokenizer.get_vocab().items() if t.startswith(SPACE)]
@@ -80,51 +84,63 @@ class Tokens:
     def clear(self) -> None:
         self.first: dict[str, bytes] = {}  # of what stands before the first space
         self.later: dict[str, bytes] = {}  # of a space with what follows it
+        self.held = 0  # about so many bytes in both
 
     def ids(self, strings: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(strings, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
 
     def spaced_ids(self, parts: list[str]) -> list[bytes]:
         """The ids of each part with a space before it. Many parts are encoded as one text; as no part holds a space, each
         begins at a token that begins with one."""
         out = []
-        for k in range(0, len(parts), RUN):
-            some = parts[k : k + RUN]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
-            starts = np.flatnonzero(self.opens[ids])
+        runs = [parts[k : k + RUN] for k in range(0, len(parts), RUN)]
+        for some, raw in zip(runs, self.ids([" " + " ".join(x) for x in runs]), strict=True):
+            starts = np.flatnonzero(self.opens[np.frombuffer(raw, "<u4")])
             if len(starts) != len(some):
                 out += self.ids([" " + x for x in some])  # an unusual vocabulary
                 continue
-            raw, at = ids.tobytes(), (4 * starts).tolist()
+            at = (4 * starts).tolist()
             out += [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=True)]
         return out
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
         for at in range(0, len(texts), 256):
-            if len(self.first) + len(self.later) > CACHE:
+            if self.held > CACHE:
                 self.clear()
-            first, later, split, odd = self.first, self.later, {}, []
-            heads, tails = set(), set()
+            later, split, odd, whole = self.later, {}, [], []
+            heads, news = set(), set()
             for k in range(at, min(at + 256, len(texts))):
+                if any(x in texts[k] for x in self.added):
+                    whole.append(k)
+                    continue
                 head, *tail = texts[k].split(" ")
-                new = set(tail).difference(later)
-                if any(not p or p[0].isspace() or p[-1].isspace() for p in new) or not head or head[-1].isspace():
-                    odd.append(k)  # more white space than single spaces: cut only where it is safe, nothing kept
+                got = list(map(later.get, tail))
+                gaps = [i for i, x in enumerate(got) if x is None] if None in got else []
+                new = [tail[i] for i in gaps]
+                if not head or head[-1].isspace() or "" in new or list(map(str.strip, new)) != new or new and max(map(len, new)) > LONG:
+                    odd.append(k)  # more white space than single spaces, or huge parts: cut only where it is safe, nothing kept
                     continue
-                split[k] = head, tail
+                split[k] = head, got, gaps, new
                 heads.add(head)
-                tails |= new
-            heads, tails = [x for x in heads if x not in first], list(tails)
-            first.update(zip(heads, self.ids(heads), strict=True))
-            later.update(zip(tails, self.spaced_ids(tails), strict=True))
-            for k, (head, tail) in split.items():
-                out[k] = b"".join([first[head], *map(later.__getitem__, tail)])
+                news.update(new)
+            self.remember(self.first, [x for x in heads if x not in self.first], self.ids)
+            self.remember(later, list(news), self.spaced_ids)
+            for k, (head, got, gaps, new) in split.items():
+                for i, x in zip(gaps, new, strict=True):
+                    got[i] = later[x]
+                out[k] = self.first[head] + b"".join(got)
             for k in odd:
                 head, *tail = CUTS.split(texts[k])
                 out[k] = b"".join(self.ids([head, *[" " + x for x in tail]]))
+            for k, ids in zip(whole, self.ids([texts[k] for k in whole]), strict=True):
+                out[k] = ids
         return out
 
+    def remember(self, where: dict[str, bytes], parts: list[str], encode) -> None:
+        where.update(zip(parts, encode(parts), strict=True))
+        self.held += ENTRY * len(parts) + 8 * sum(map(len, parts))
+
 
 @lru_cache(2)
 def loaded(path: str | None) -> Tokens:
@@ -178,8 +194,8 @@ def pack(docs: DataFrame, path: str | None = None, group: int = GROUP) -> DataFr
     """The pieces of all documents."""
     d = pick(docs, doc_id="bigint", text="string")
     groups = max(1, -(-docs.count() // group))
-    # A second, random-looking part of the key: many rows of one doc_id must not meet in one group.
-    g = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "tokens", F.spark_partition_id(), F.col("sums")[0]), F.lit(groups))
+    # Dealt by the row's place: rows that are equal in everything must not meet in one group.
+    g = F.pmod(F.xxhash64(F.monotonically_increasing_id(), "tokens", F.col("sums")[0]), F.lit(groups))
     return tokenised(d, path).withColumn("g", g).groupBy("g").applyInArrow(lambda t: pack_group(t), PIECES)
 
 

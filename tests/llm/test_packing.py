@@ -12,9 +12,7 @@ from stemma.llm import packing as P
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_tree_is_first_fit():
@@ -37,7 +35,7 @@ def test_tree_is_first_fit():
 
 def test_ids(tokenizer):
     random.seed(3)
-    texts = ["", "a", " a", "a ", "  a  b", "a\n b", "x \n y", "don't  stop's", "a \u3000b", "a\x1cb \x1c c", "ab" * 3000, "<|endoftext|> hi", " ", "\n", "a\n", " \n a"]
+    texts = ["", "a", " a", "a ", "  a  b", "a\n b", "x \n y", "don't  stop's", "a \u3000b", "a\x1cb \x1c c", "ab" * 3000, "<|endoftext|> hi", "a <|endoftext|> b", "x" * 9000 + "<|endoftext|>" * 3 + " y", "<|endoftext", " ", "\n", "a\n", " \n a"]
     texts += ["".join(random.choice(" \n\tab'sé1. 漢😀") for _ in range(random.randint(1, 60))) for _ in range(400)]
     got = P.loaded(None).encode_batch(texts)
     assert got == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
@@ -72,8 +70,20 @@ def test_empty(spark, docs):
 
 def test_a_full_cache_changes_nothing(monkeypatch, tokenizer):
     random.seed(12)
-    monkeypatch.setattr(P, "CACHE", 40)
+    monkeypatch.setattr(P, "CACHE", 8000)
     t = P.Tokens(public_tokenizers.path("byte_bpe_50k.json"))
     texts = [" ".join(random.choice(["ab", "cd", "e", "f."]) + str(random.randint(0, 30)) for _ in range(20)) for _ in range(1200)]
     got = t.encode_batch(texts)
     assert got == [np.array(tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+
+
+def test_equal_rows_are_dealt_over_all_groups(spark):
+    same = spark.range(0, 20000, 1, 1).selectExpr("cast(null as bigint) doc_id", "cast(null as string) text")
+    got = P.pack(same).groupBy((P.F.col("sequence_id") / 2**32).cast("long").alias("g")).count().collect()
+    assert len(got) == 10 and max(r["count"] for r in got) < 3 * P.GROUP and sum(r["count"] for r in got) == 20000
+
+
+def test_long_parts_are_not_remembered():
+    t = P.Tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_batch(["a " + "b" * 100_000 + " c"])
+    assert t.held < 10_000 and max(map(len, [*t.first, *t.later, ""])) <= P.LONG

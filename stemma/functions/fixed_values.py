@@ -981,3 +981,26 @@ VERSION_SUFFIXES = [
     r"(?<=[A-Za-z]{4})v$",
     r"\bv$",
 ]
+
+#: What is taken from the end of a title to make its key, in this order.
+KEY_TAILS = [
+    r"\b(?:full\s*version|vollversion|bonus|extras?)\b$",
+    r"\bdemo\b$",
+    r"\bversion\s*[0-9][0-9a-z ]*$",
+    r"\bupdate\s*[0-9][0-9a-z ]*$",
+    r"\bv\s*[0-9][0-9a-z ]*$",
+    r"\bv$",
+]
+#: Versions at the end of a title that is looked up.
+VERSION_TAILS = [
+    r"(?i)\s+v(?:ersion)?\s*\d+(?:[\s._-]*\d+)*(?:[a-z])?$",
+    r"(?i)\s+v\d+(?:[\s._-]*\d+)*(?:[a-z])?$",
+]
+#: Markup and what it becomes, in this order.
+MARKUP = [
+    (r"(?i)<br\s*/?>", "\n"),
+    (r"(?i)</?(div|p|li|ul|ol|h[1-6])[^>]*>", "\n"),
+    (r"<[^>]+>", " "),
+]
+#: Fixed value: what stands between the items of a line.
+ITEM_MARKS = r"\s*[•;]\s*|\s+\|\s+|\s+/\s+|\s+\*\s+|\s+-\s+"

@@ -1,42 +1,78 @@
-"""Folding letters to ASCII: sharp s as two letters, compatibility forms decomposed, combining marks dropped."""
+"""Folding letters to ASCII: sharp s as two letters, compatibility forms decomposed, combining marks dropped. Native."""
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+BLOCK, PART = 256, "\x01\x02"
+#: Characters that texts of Latin letters are made of; a text of others is folded character by character.
+LATIN = [(0, 0x250), (0x300, 0x370), (0x1E00, 0x1F00), (0x2010, 0x2016), (0x2018, 0x2020)]
+
 
 def folded(text: str) -> str:
     text = unicodedata.normalize("NFKD", text.replace("ß", "ss").replace("ẞ", "SS"))
     return "".join(c for c in text if not unicodedata.combining(c))
 
 
-def table(*blocks: tuple[int, int]) -> tuple[str, str]:
-    """Characters of these blocks that fold to one other character, and what they fold to."""
-    pairs = [(chr(i), folded(chr(i))) for a, b in blocks for i in range(a, b)]
-    pairs = [(a, b) for a, b in pairs if len(b) == 1 and a != b]
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+@lru_cache(1)
+def latin() -> tuple[str, str, str]:
+    """Of the Latin blocks: the characters that fold to one other, what they fold to, and a class of all characters that
+    this and the dropping of marks don't fold rightly."""
+    pairs, simple = [], []
+    for a, b in LATIN:
+        for i in range(a, b):
+            c, f = chr(i), folded(chr(i))
+            if len(f) == 1 and f != c:
+                pairs.append((c, f))
+            if len(f) == 1 or c in "ßẞ" or 0x300 <= i < 0x370 and not f:
+                simple.append(i)
+    runs: list[list[int]] = []
+    for i in simple:
+        if runs and i == runs[-1][1] + 1:
+            runs[-1][1] = i
+        else:
+            runs.append([i, i])
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs), "[^" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in runs) + "]"
 
 
-#: Latin letters with marks, built by rule; longer foldings (such as ligatures) only in fold_any.
-FROM, TO = table((0xA0, 0x250), (0x1E00, 0x1F00))
+@lru_cache(1)
+def blocks() -> tuple[str, str]:
+    """The rule as two texts: for each block of 256 code points the place of its table or -1, by comma; and the tables, an
+    entry for each character, by PART. Only blocks in which something folds have a table."""
+    places, entries = [], []
+    for first in range(0, sys.maxunicode + 1, BLOCK):
+        some = [chr(i) for i in range(first, first + BLOCK)]
+        new = [c if 0xD800 <= ord(c) < 0xE000 else folded(c) for c in some]
+        if new == some:
+            places.append(-1)
+        else:
+            places.append(len(entries))
+            entries += new
+    return ",".join(map(str, places)), PART.join(entries)
 
 
-def ascii_fold(c: Column) -> Column:
-    """Native folding of Latin text; null is the empty text."""
-    c = F.coalesce(c, F.lit(""))
-    c = F.replace(F.replace(c, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("SS"))
-    return F.regexp_replace(F.translate(c, FROM, TO), "[\\u0300-\\u036F]+", "")
+def one_by_one(c: Column) -> Column:
+    """Every character through the tables, which the optimizer makes constants of."""
+    places, entries = blocks()
+    place_of = F.split(F.lit(places), ",").cast("array<int>")
+    table = F.split(F.lit(entries), PART)
 
+    def fold(ch: Column) -> Column:
+        code = F.ascii(ch)
+        place = F.get(place_of, F.shiftright(code, 8))
+        return F.when(place >= 0, F.get(table, place + F.pmod(code, F.lit(BLOCK)))).otherwise(ch)
 
-def fold_any(c: Column) -> Column:
-    """The same for every script, by Arrow batches. Only for columns that ascii_fold leaves with other characters."""
+    return F.array_join(F.transform(F.split(c, ""), fold), "")
 
-    @F.pandas_udf("string")
-    def of(s: pd.Series) -> pd.Series:
-        return s.fillna("").map(folded)
 
-    return of(c)
+def ascii_fold(c: Column) -> Column:
+    """The folded text; null is the empty text."""
+    c = F.coalesce(c, F.lit(""))
+    from_, to, others = latin()
+    plain = F.translate(F.replace(F.replace(c, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("SS")), from_, to)
+    return F.when(c.rlike(others), one_by_one(c)).otherwise(F.regexp_replace(plain, "[\\u0300-\\u036F]+", ""))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from html import entities
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,19 +63,9 @@ def slug(c: Column) -> Column:
     return letters_and_digits(c, "-")
 
 
-KEY_TAILS = [
-    r"\b(?:full\s*version|vollversion|bonus|extras?)\b$",
-    r"\bdemo\b$",
-    r"\bversion\s*[0-9][0-9a-z ]*$",
-    r"\bupdate\s*[0-9][0-9a-z ]*$",
-    r"\bv\s*[0-9][0-9a-z ]*$",
-    r"\bv$",
-]
-
-
 def cluster_key(c: Column) -> Column:
     """The key that spellings of a title share: its public form without one trailing descriptor of each sort, no blanks."""
-    c = reduce(lambda x, p: F.trim(F.regexp_replace(x, p, "")), KEY_TAILS, public_title(c))
+    c = reduce(lambda x, p: F.trim(F.regexp_replace(x, p, "")), V.KEY_TAILS, public_title(c))
     return F.regexp_replace(c, r"\s+", "")
 
 
@@ -151,7 +142,7 @@ def reference_title(c: Column) -> Column:
 
 
 def strip_version(c: Column) -> Column:
-    for p in (r"(?i)\s+v(?:ersion)?\s*\d+(?:[\s._-]*\d+)*(?:[a-z])?$", r"(?i)\s+v\d+(?:[\s._-]*\d+)*(?:[a-z])?$"):
+    for p in V.VERSION_TAILS:
         c = F.trim(F.regexp_replace(F.trim(c), p, ""))
     return c
 
@@ -164,16 +155,66 @@ def search_variants(c: Column) -> Column:
     return F.array_distinct(F.filter(all_, lambda x: x != ""))
 
 
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+#: The named characters of the standard, and those of them that also count without a semicolon, longest first.
+NAMED = dict(entities.html5)
+BARE = sorted((n for n in NAMED if not n.endswith(";")), key=lambda n: (-len(n), n))
+#: Numbers that stand for another character than their own.
+INSTEAD = {0: "\ufffd", 0x0D: "\r"} | {n: bytes([n]).decode("cp1252", "replace").replace("\ufffd", chr(n)) for n in range(0x80, 0xA0)}
+
+
+def numbered(digits: Column) -> Column:
+    """The character of a number: decimal, or after an x hexadecimal. Surrogates and numbers beyond the last character give
+    the replacement character, control characters and other code points for nothing the empty text."""
+    code = F.when(digits.rlike("^[xX]"), F.conv(F.substring(digits, F.lit(2), F.length(digits)), 16, 10)).otherwise(digits)
+    big = F.length(F.regexp_replace(code, "^0+", "")) > 7
+    n = F.when(big, F.lit(0x110000)).otherwise(F.regexp_replace(code, "^0+(?=.)", "").cast("int"))
+
+    def char(n: Column) -> Column:
+        odd = first_of_map({str(k): v for k, v in INSTEAD.items()}, n.cast("string"))
+        out = (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+        none = n.between(1, 8) | n.between(0x0E, 0x1F) | n.between(0x7F, 0x9F) | n.between(0xFDD0, 0xFDEF) | (n == 0x0B) | (n.bitwiseAND(0xFFFE) == 0xFFFE)
+        text = F.when(n == 0xFEFF, F.lit("\ufeff")).otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+        return F.when(odd.isNotNull(), odd).when(out, F.lit("\ufffd")).when(none, F.lit("")).otherwise(text)
+
+    return let(n, char)
+
+
+def first_of_map(entries: dict[str, str], key: Column) -> Column:
+    """The value of a fixed table for a key, null without one; the table becomes a constant of the plan."""
+    return F.try_element_at(F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in entries.items())), F.lit("\x01"), F.lit("\x02")), key)
+
+
+def unescaped(c: Column) -> Column:
+    """Character references resolved as browsers do: numbers, named ones, and the old names without a semicolon, also as the
+    beginning of a longer word."""
+
+    def one(p: Column) -> Column:
+        number = r"^#([0-9]+|[xX][0-9a-fA-F]+)"
+        name = F.regexp_extract(p, r"^[^\t\n\f <&#;]{1,32};?", 0)
+
+        def found(x: Column) -> Column:
+            rest = F.substring(p, F.length(x["name"]) + 1, F.length(p))
+            old = F.regexp_extract(p, f"^(?:{'|'.join(BARE)})", 0)
+            named = F.when(x["value"].isNotNull(), F.concat(x["value"], rest)).when(old != "", F.concat(first_of_map({n: NAMED[n] for n in BARE}, old), F.substring(p, F.length(old) + 1, F.length(p))))
+            return F.when(p.rlike(number), F.concat(numbered(F.regexp_extract(p, number, 1)), F.regexp_replace(p, number + ";?", ""))).otherwise(F.coalesce(named, F.concat(F.lit("&"), p)))
+
+        return let(F.struct(name.alias("name"), F.when(name != "", F.coalesce(first_of_map(USUAL, name), first_of_map(NAMED, name))).alias("value")), found)
+
+    def whole(parts: Column) -> Column:
+        return F.array_join(F.concat(F.slice(parts, 1, 1), F.transform(F.slice(parts, F.lit(2), F.size(parts)), one)), "")
+
+    return F.when(c.contains("&"), let(F.split(c, "&"), whole)).otherwise(c)
+
+
+#: Looked up before all others.
+USUAL = {n: NAMED[n] for n in ("amp;", "nbsp;", "lt;", "gt;", "quot;", "auml;", "ouml;", "uuml;", "szlig;", "copy;", "middot;", "apos;", "eacute;", "ndash;", "mdash;", "hellip;")}
 
 
 def html_text(c: Column) -> Column:
-    """Markup to lines of text: breaks and blocks as line ends, other tags as blanks, entities resolved (the usual ones)."""
-    t = F.regexp_replace(c, r"(?i)<br\s*/?>", "\n")
-    t = F.regexp_replace(t, r"(?i)</?(div|p|li|ul|ol|h[1-6])[^>]*>", "\n")
-    t = F.regexp_replace(t, "<[^>]+>", " ")
-    t = reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), ENTITIES, t)
-    return F.regexp_replace(F.replace(t, F.lit("\r"), F.lit("\n")), r"\n{3,}", "\n\n")
+    """Markup to lines of text: breaks and blocks as line ends, other tags as blanks, character references resolved."""
+    for p, by in V.MARKUP:
+        c = F.regexp_replace(c, p, by)
+    return F.regexp_replace(F.replace(unescaped(c), F.lit("\r"), F.lit("\n")), r"\n{3,}", "\n\n")
 
 
 def list_items(c: Column) -> Column:
@@ -183,7 +224,7 @@ def list_items(c: Column) -> Column:
     t = F.regexp_replace(F.trim(c), r"^[\s*•\-]+", "")
 
     def parts(t: Column) -> Column:
-        p = F.split(t, r"\s*[•;]\s*|\s+\|\s+|\s+/\s+|\s+\*\s+|\s+-\s+")
+        p = F.split(t, V.ITEM_MARKS)
         return F.when((F.size(p) == 1) & (F.regexp_count(t, F.lit(",")) >= 2), F.split(t, ",")).otherwise(p)
 
     return F.filter(F.transform(let(t, parts), lambda x: strip_chars(x, fringe)), lambda x: x != "")
@@ -240,9 +281,12 @@ def parse_code(c: Column) -> Column:
     return F.when(ok, F.struct(F.split_part(c, F.lit("#"), F.lit(1)).alias("kind"), F.split_part(c, F.lit("#"), F.lit(2)).cast("bigint").alias("number")))
 
 
-def wiki_url(language: str, title: Column) -> Column:
-    quoted = F.replace(F.replace(F.url_encode(F.replace(title, F.lit(" "), F.lit("_"))), F.lit("+"), F.lit("%20")), F.lit("%2F"), F.lit("/"))
-    return F.concat(F.lit(f"https://{language}.wikipedia.org/wiki/"), quoted)
+def wiki_url(language: Column | str, title: Column) -> Column:
+    """Address of a page: blanks as underlines, all but letters, digits, _.-~ and / in percent form."""
+    quoted = F.url_encode(F.replace(title, F.lit(" "), F.lit("_")))
+    for a, b in (("+", "%20"), ("%2F", "/"), ("*", "%2A"), ("%7E", "~")):
+        quoted = F.replace(quoted, F.lit(a), F.lit(b))
+    return F.concat(F.lit("https://"), F.lit(language) if isinstance(language, str) else language, F.lit(".wikipedia.org/wiki/"), quoted)
 
 
 def public_reason(c: Column) -> Column:
@@ -264,7 +308,7 @@ def public_notes(values: Column) -> Column:
 
 
 def lenient_int(c: Column) -> Column:
-    """The number a text starts to be, truncated; null if it is none."""
+    """The number that a text is, truncated; null for any other text."""
     return F.trim(c).try_cast("double").try_cast("int")
 
 

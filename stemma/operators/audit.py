@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import variant_fold
 from .dedupe import sorted_set
@@ -40,8 +41,15 @@ def sufficient(titles: DataFrame, key: str, best: Column, structured: Column) ->
 
 
 def digest(df: DataFrame) -> DataFrame:
-    """One row (n, digest) that doesn't depend on the order of rows or columns; repeated rows count."""
-    h = F.xxhash64(*sorted(df.columns))
+    """One row (n, digest) that doesn't depend on the order of rows or columns; repeated rows count, and so does where the
+    nulls are: a hash skips nulls, so each column is hashed after the fact whether it is one, and nested values as JSON
+    that names them."""
+    parts: list[Column] = []
+    for name in sorted(df.columns):
+        c = F.col("`" + name.replace("`", "``") + "`")
+        nested = isinstance(df.schema[name].dataType, (T.ArrayType, T.MapType, T.StructType))
+        parts += [c.isNull(), F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"}) if nested else c]
+    h = F.xxhash64(*parts)
     return df.agg(F.count("*").alias("n"), F.concat_ws("|", F.bit_xor(h), F.sum((h % 1000003).cast("bigint")), F.sum(F.pmod(F.shiftright(h, 20), F.lit(1000003)))).alias("digest"))
 
 

@@ -29,14 +29,14 @@ def with_reason(rows: DataFrame) -> DataFrame:
     return out.withColumn("keep", F.col("reason").isin(R.KEEP))
 
 
-def clean_titles(rows: DataFrame, key: str, title: str, kind: str, vocab: DataFrame) -> DataFrame:
+def clean_titles(rows: DataFrame, title: str, kind: str, vocab: DataFrame) -> DataFrame:
     """rows with cleaned_title, cleaned_normalized, game_id, flags (sorted), content_class, content_form. Class and form are
     those of the title as it came."""
     out = rows.withColumn("__original", normalize_spaces(F.col(title)))
     out = out.withColumn("content_class", R.content_class(F.col("__original")))
     out = out.withColumn("content_form", R.content_form(safe(F.col(kind)) if kind else F.lit(""), F.col("content_class")))
     out = out.withColumn("__one", strip_suffixes(split_camel(F.col("__original")))).withColumn("cleaned_title", F.col("__one")["text"])
-    out = materialised(repair_compounds(materialised(out), key, "cleaned_title", vocab))
+    out = materialised(repair_compounds(materialised(out), "cleaned_title", vocab))
     out = out.withColumn("__rep", repair_tokens(F.col("cleaned_title")))
     out = out.withColumn("__two", strip_suffixes(F.col("__rep")))
     flags = F.array(

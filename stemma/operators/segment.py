@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.fold import ascii_fold
-from ..functions.text import let, normalize_spaces, split_camel
+from ..functions.text import ODD, PLAIN, normalize_spaces
 
 LETTERS = "A-Za-zÀ-ÿ'"
 STOP_BONUS, BOOST_BONUS = 200, 25
-LONGEST, LEAST_SCORE = 20, 3.5
+SHORTEST, LONGEST, LEAST_SCORE, COST = 2, 20, 3.5, 0.25
 
 
-def tokens(title: Column) -> Column:
-    """Folded words of a title."""
-    words = F.regexp_extract_all(split_camel(normalize_spaces(title)), F.lit(f"[{LETTERS}]+"), F.lit(0))
-    return F.filter(F.transform(words, lambda w: F.lower(F.when(w.rlike(r"[^\x00-\x7F]"), ascii_fold(w)).otherwise(w))), lambda w: w != "")
+def words(titles: DataFrame, column: str) -> DataFrame:
+    """(word, n): the folded words of a column and how often each occurs. Runs of letters are counted as they stand, in one
+    look at each title; only the different ones are parted at capitals and folded."""
+    runs = F.regexp_extract_all(F.translate(F.coalesce(column, F.lit("")), ODD, PLAIN), F.lit(f"[{LETTERS}]+"), F.lit(0))
+    counted = titles.select(F.explode(runs).alias("run")).groupBy("run").agg(F.count("*").alias("n"))
+    parts = F.split(F.regexp_replace(F.regexp_replace("run", "(?<=[a-z])(?=[A-Z])", " "), "(?<=[A-Z])(?=[A-Z][a-z])", " "), " ")
+    folded = counted.select(F.explode(parts).alias("part"), "n").select(F.lower(ascii_fold(F.col("part"))).alias("word"), "n")
+    return folded.where("word <> ''").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(titles: DataFrame, column: str) -> DataFrame:
-    """(word, n): how often each word occurs, function words and boosted words counted extra."""
-    spark = titles.sparkSession
-    counted = titles.select(F.explode(tokens(F.col(column))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    fixed = spark.createDataFrame([(w, STOP_BONUS) for w in V.SMALL_WORDS] + [(w, BOOST_BONUS) for w in V.BOOSTED_WORDS], "word string, n bigint")
+def vocabulary(counted: DataFrame) -> DataFrame:
+    """counted (word, n), function words and boosted words counted extra."""
+    fixed = counted.sparkSession.createDataFrame([(w, STOP_BONUS) for w in V.SMALL_WORDS] + [(w, BOOST_BONUS) for w in V.BOOSTED_WORDS], "word string, n bigint")
     return counted.unionByName(fixed).groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -33,38 +38,54 @@ def hinted(folded: Column) -> Column:
     return F.exists(F.array(*[F.lit(h) for h in V.SEGMENT_HINTS]), lambda h: inner.contains(h))
 
 
-def best_path(length: Column, edges: Column) -> Column:
-    """Struct (score, parts) of the best way over edges (start, end, w, part) from 0 to length; parts is null without one.
-    Built from the right: at each place the best edge and what follows it; equal scores go to the shorter first part.
-    Scores are rounded to nine places, so that sums in another order decide alike."""
-    none = F.struct(F.lit(-1e9).alias("score"), F.lit(None).cast("array<string>").alias("parts"))
-    end = F.struct(F.lit(0.0).alias("score"), F.array().cast("array<string>").alias("parts"))
-
-    def at(state: Column, i: Column) -> Column:
-        def option(e: Column) -> Column:
-            tail = F.get(state, e["end"] - i - 1)
-            return F.when(tail["parts"].isNotNull(), F.struct(F.round(e["w"] + tail["score"], 9).alias("score"), (-e["end"]).alias("near"), F.concat(F.array(e["part"]), tail["parts"]).alias("parts")))
-
-        best = F.array_max(F.filter(F.transform(F.filter(edges, lambda e: e["start"] == i), option), lambda x: x.isNotNull()))
-        return F.concat(F.array(let(best, lambda b: F.when(b.isNull(), none).otherwise(F.struct(b["score"].alias("score"), b["parts"].alias("parts"))))), state)
-
-    return F.aggregate(F.reverse(F.sequence(F.lit(0), length - 1)), F.array(end), at, lambda s: F.get(s, 0))
-
-
-def segmentations(words: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(token, parts) for the tokens (column token: folded, different) that the vocabulary parts into known words."""
-    w = words.select("token").where(F.col("token").rlike("^[a-z]{6,}$"))
+def best_path(length: int, by_start: dict[int, list[tuple[int, float]]]) -> tuple[float, list[int]] | None:
+    """Score and ends of the best way over edges (start -> [(end, weight)]) from 0 to length. Built from the right: at each
+    place the best edge and where it leads; equal scores go to the shorter first part. Scores are rounded to nine places,
+    so that sums in another order decide alike. One look at each edge."""
+    best: list[tuple[float, int] | None] = [None] * length + [(0.0, -length)]
+    for i in range(length - 1, -1, -1):
+        options = [(round(w + best[e][0], 9), -e) for e, w in by_start.get(i, ()) if best[e] is not None]
+        best[i] = max(options, default=None)
+    if best[0] is None:
+        return None
+    ends, at = [], 0
+    while at < length:
+        at = -best[at][1]
+        ends.append(at)
+    return best[0][0], ends
+
+
+def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, parts) from (token, edges of start, end, weight, known), where the best way is good enough."""
+    for b in batches:
+        tokens, found = [], []
+        for token, edges in zip(b.column("token").to_pylist(), b.column("edges").to_pylist(), strict=True):
+            by_start: dict[int, list[tuple[int, float]]] = {}
+            known = set()
+            for x in edges:
+                by_start.setdefault(x["start"], []).append((x["end"], x["weight"]))
+                if x["known"]:
+                    known.add((x["start"], x["end"]))
+            way = best_path(len(token), by_start)
+            if way and len(way[1]) >= 2 and way[0] >= LEAST_SCORE and all(x in known for x in zip([0, *way[1]], way[1])):
+                tokens.append(token)
+                found.append([token[s:e] for s, e in zip([0, *way[1]], way[1])])
+        yield pa.record_batch({"token": pa.array(tokens, pa.string()), "parts": pa.array(found, pa.list_(pa.string()))})
+
+
+def segmentations(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(token, parts) for the tokens (column token: folded, different) that the vocabulary parts into known words. Tokens
+    find their pieces in the vocabulary by a join; the choice of a way is a loop over a token's places, which built-in
+    functions can't say in time that grows with its length only."""
+    w = tokens.select("token").where(F.col("token").rlike("^[a-z]{6,}$"))
     w = w.join(vocab.where("n >= 3").select(F.col("word").alias("token")), "token", "left_anti")
-    starts = F.sequence(F.lit(0), F.length("token") - 2)
-    pieces = F.flatten(F.transform(starts, lambda s: F.transform(F.sequence(s + 2, F.least(F.length("token"), s + LONGEST)), lambda e: F.struct(s.alias("start"), e.alias("end"), F.substring("token", s + 1, e - s).alias("word")))))
+    starts = F.sequence(F.lit(0), F.length("token") - SHORTEST)
+    pieces = F.flatten(F.transform(starts, lambda s: F.transform(F.sequence(s + SHORTEST, F.least(F.length("token"), s + LONGEST)), lambda e: F.struct(s.alias("start"), e.alias("end"), F.substring("token", s + 1, e - s).alias("word")))))
     e = w.select("token", F.explode(pieces).alias("p")).select("token", "p.*")
-    e = e.join(vocab, "word").select("token", F.struct("start", "end", (F.ln(F.col("n") + 1.0) - 0.25).alias("w"), F.col("word").alias("part"), F.col("n").alias("n")).alias("e"))
+    known = (F.col("n") >= 2) | F.col("word").isin(V.SMALL_WORDS)
+    e = e.join(vocab, "word").select("token", F.struct("start", "end", (F.ln(F.col("n") + 1.0) - COST).alias("weight"), known.alias("known")).alias("e"))
     g = e.groupBy("token").agg(F.collect_list("e").alias("edges"))  # at most 19 for each letter of one token
-    g = g.withColumn("best", best_path(F.length("token"), F.col("edges")))
-    stop = F.array(*[F.lit(x) for x in V.SMALL_WORDS])
-    parts = F.col("best")["parts"]
-    known = F.forall(parts, lambda p: F.array_contains(stop, p) | F.exists("edges", lambda x: (x["part"] == p) & (x["n"] >= 2)))
-    return g.where(parts.isNotNull() & (F.size(parts) >= 2) & (F.col("best")["score"] >= LEAST_SCORE) & known).select("token", parts.alias("parts"))
+    return g.mapInArrow(parted, "token string, parts array<string>")
 
 
 def recased(part: Column, original: Column) -> Column:
@@ -74,16 +95,18 @@ def recased(part: Column, original: Column) -> Column:
     return F.when(shout, F.upper(part)).when(F.array_contains(small, part), F.lower(part)).when((first == F.upper(first)) & (first != F.lower(first)), F.initcap(part)).otherwise(F.lower(part))
 
 
-def repair_compounds(df: DataFrame, key: str, column: str, vocab: DataFrame) -> DataFrame:
-    """df with column's glued words parted and split_any telling whether any was. key identifies df's rows. Only different
-    hinted tokens are parted; they come back to the rows by a join."""
-    words = df.select(key, F.posexplode(F.split(F.trim(F.col(column)), r"\s+")).alias("place", "token"))
+def repair_compounds(df: DataFrame, column: str, vocab: DataFrame) -> DataFrame:
+    """df with column's glued words parted and split_any telling whether any was. Only different titles, and of these only
+    different hinted tokens, are looked at; they come back to the rows by the title, so repeated rows are no matter."""
+    titles = df.select(F.col(column).alias("__title")).distinct()
+    words = titles.select("__title", F.posexplode(F.split(F.trim("__title"), r"\s+")).alias("place", "token"))
     words = words.withColumn("bare", F.regexp_replace("token", f"[^{LETTERS}]", "")).withColumn("folded", F.lower(ascii_fold(F.col("bare"))))
     some = words.where((F.col("bare") != "") & hinted(F.col("folded")) & ~F.col("folded").isin("wii", "xfire"))
     seg = segmentations(some.select(F.col("folded").alias("token")).distinct(), vocab).select(F.col("token").alias("folded"), "parts")
     new = some.join(seg, "folded").withColumn("rebuilt", F.array_join(F.transform("parts", lambda p: recased(p, F.col("token"))), " "))
-    new = new.select(key, "place", F.replace("token", F.col("bare"), F.col("rebuilt")).alias("rebuilt"))
-    changes = new.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("place", "rebuilt"))).alias("__new"))
-    out = df.join(changes, key, "left")
-    parts = F.transform(F.split(F.trim(F.col(column)), r"\s+"), lambda t, i: F.coalesce(F.try_element_at(F.col("__new"), i), t))
-    return out.withColumn(column, F.when(F.col("__new").isNull(), normalize_spaces(F.col(column))).otherwise(normalize_spaces(F.array_join(parts, " ")))).withColumn("split_any", F.col("__new").isNotNull()).drop("__new")
+    new = new.select("__title", "place", F.replace("token", F.col("bare"), F.col("rebuilt")).alias("rebuilt"))
+    changes = new.groupBy("__title").agg(F.map_from_entries(F.collect_list(F.struct("place", "rebuilt"))).alias("__new"))
+    parts = F.transform(F.split(F.trim("__title"), r"\s+"), lambda t, i: F.coalesce(F.try_element_at(F.col("__new"), i), t))
+    fixed = changes.select("__title", normalize_spaces(F.array_join(parts, " ")).alias("__fixed"))
+    out = df.join(fixed, F.col(column) == F.col("__title"), "left").withColumn("split_any", F.col("__fixed").isNotNull())
+    return out.withColumn(column, F.coalesce("__fixed", normalize_spaces(F.col(column)))).drop("__title", "__fixed")

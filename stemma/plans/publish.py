@@ -13,7 +13,7 @@ from ..operators import cluster as G
 from ..operators import joins as J
 from ..operators.dedupe import last_wins
 from ..operators.matching import best_match
-from ..operators.segment import vocabulary
+from ..operators.segment import vocabulary, words
 from ..session import materialised
 from . import schemas as S
 
@@ -24,7 +24,7 @@ def ordered(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.withColumn("ordinal", F.concat_ws("\u0001", *[safe(F.col(c)) for c in columns]))
 
 
-ORDER = ["archive_name", "normalized_title", "representative_title", "source_kinds"]
+ORDER = ["archive_name", "normalized_title", "representative_title", "source_kinds", "confidence", "content_kind", "archive_item", "issue_code", "year", "variant"]
 
 
 def clean(issues: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -58,8 +58,8 @@ def prepared(rows: DataFrame, baseline: DataFrame, overrides: DataFrame, rejecti
     names = src.select(F.col("source_title").alias("title"))
     if "canonical_title" in baseline.columns:
         names = names.unionByName(match_table(baseline).where(~R.is_qid(F.col("alias_canonical_title")) & (F.col("alias_canonical_title") != "")).select(F.col("alias_canonical_title").alias("title")))
-    vocab = vocabulary(names, "title")
-    out = C.clean_titles(src, "ordinal", "source_title", "content_kind", materialised(vocab))
+    vocab = vocabulary(words(names, "title"))
+    out = C.clean_titles(src, "source_title", "content_kind", materialised(vocab))
     out = out.withColumns({"representative_title": F.col("cleaned_title"), "normalized_title": F.col("cleaned_normalized"), "title_cleanup_flags": F.array_join("flags", "; ")}).drop("flags", "cleaned_normalized")
     out = with_matches(materialised(out), "source_normalized_title", baseline, rejections, "ordinal")
     o = last_wins(overrides, "game_id", [F.col(c) for c in S.OVERRIDES]).select("game_id", F.col("content_class").alias("__class"), F.lower(F.trim(safe(F.col("publishable")))).alias("__publish"), F.col("reason").alias("manual_content_reason"))

@@ -10,6 +10,8 @@ from ..functions import text as T
 from ..functions.fold import ascii_fold
 from ..operators import audit as A
 from ..operators import extract as X
+from ..operators import segment as G
+from ..session import materialised
 from .registry import query, sql_in, sql_list, sql_text, table
 
 #: Words put after part names so that every rule has cases.
@@ -37,7 +39,7 @@ def spaces_sql(x: str) -> str:
 
 def key_sql(x: str) -> str:
     x = public_sql(x)
-    for p in T.KEY_TAILS:
+    for p in V.KEY_TAILS:
         x = f"trim(regexp_replace({x}, {sql_text(p)}, ''))"
     return f"regexp_replace({x}, '\\s+', '', 'g')"
 
@@ -237,11 +239,15 @@ def parse_code(spark, d):
     return one("supplier", "s_suppkey", "s_name").unionByName(one("customer", "c_custkey", "c_name"))
 
 
+#: The references that occur in the pages.
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+
+
 def html_sql(x: str) -> str:
     x = f"regexp_replace({x}, '(?i)<br\\s*/?>', chr(10), 'g')"
     x = f"regexp_replace({x}, '(?i)</?(div|p|li|ul|ol|h[1-6])[^>]*>', chr(10), 'g')"
     x = f"regexp_replace({x}, '<[^>]+>', ' ', 'g')"
-    for a, b in T.ENTITIES:
+    for a, b in ENTITIES:
         x = f"replace({x}, {sql_text(a)}, {sql_text(b)})"
     return f"regexp_replace(replace({x}, chr(13), chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g')"
 
@@ -355,25 +361,48 @@ def json_fields(spark, d):
     return e.select("event_id", "p.k", "p.missing")
 
 
-@query(f"""
-WITH w AS (SELECT lower(strip_accents(replace(replace(x, 'ß', 'ss'), 'ẞ', 'SS'))) AS word FROM (
+VOCAB_WORDS = f"""SELECT lower(strip_accents(replace(replace(x, 'ß', 'ss'), 'ẞ', 'SS'))) AS word FROM (
   SELECT unnest(regexp_extract_all(array_to_string(list_transform(list_filter(string_split({spaces_sql('text')}, ' '), lambda t: t <> ''), lambda t:
     regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '([a-z])([A-Z])', '\\1 \\2', 'g'), '([A-Z])([A-Z][a-z])', '\\1 \\2', 'g'),
-    '([A-Za-z]{{2}})(\\d{{1,4}}\\b)', '\\1 \\2', 'g'), '(\\d)([A-Za-z]{{2,}})', '\\1 \\2', 'g')), ' '), '[A-Za-zÀ-ÿ'']+')) AS x FROM documents)),
+    '([A-Za-z]{{2}})(\\d{{1,4}}\\b)', '\\1 \\2', 'g'), '(\\d)([A-Za-z]{{2,}})', '\\1 \\2', 'g')), ' '), '[A-Za-zÀ-ÿ\'\']+')) AS x FROM documents)"""
+
+
+@query(f"""
+WITH w AS ({VOCAB_WORDS}),
 c AS (SELECT word, count(*) AS n FROM w WHERE word <> '' GROUP BY 1
   UNION ALL SELECT unnest({sql_list(V.SMALL_WORDS)}), 200 UNION ALL SELECT unnest({sql_list(V.BOOSTED_WORDS)}), 25)
 SELECT word, sum(n)::BIGINT AS n FROM c GROUP BY 1""")
 def vocab_count(spark, d):
-    from ..operators.segment import vocabulary
+    return G.vocabulary(G.words(table(spark, d, "documents"), "text"))
 
-    return vocabulary(table(spark, d, "documents"), "text")
 
+#: The best way over a token's known pieces, place by place from the right; a state is the list of the last 20 places' best.
+_segments = f"""
+SELECT word AS token, length(word) AS len FROM c2 WHERE regexp_full_match(word, '[a-z]{{6,}}') AND n0 > 0 AND n < 3
+  AND len(list_filter({sql_list(V.SEGMENT_HINTS)}, lambda h: contains(substr(word, 2, greatest(length(word) - 2, 0)), h))) > 0"""
 
-@query(None)
-def segment_tokens(spark, d):
-    from ..operators import segment as G
 
-    docs = table(spark, d, "documents")
-    words = docs.select(F.explode(G.tokens(F.col("text"))).alias("token")).distinct()
-    parts = G.segmentations(words.where(G.hinted(F.col("token"))), G.vocabulary(docs, "text"))
+@query(f"""
+WITH RECURSIVE w AS ({VOCAB_WORDS}),
+c1 AS (SELECT word, count(*) AS n, count(*) AS n0 FROM w WHERE word <> '' GROUP BY 1
+  UNION ALL SELECT unnest({sql_list(V.SMALL_WORDS)}), 200, 0 UNION ALL SELECT unnest({sql_list(V.BOOSTED_WORDS)}), 25, 0),
+c2 AS (SELECT word, sum(n)::BIGINT AS n, sum(n0)::BIGINT AS n0 FROM c1 GROUP BY 1),
+t AS ({_segments}),
+p AS (SELECT token, s, e, substr(token, s + 1, e - s) AS part FROM (SELECT token, s, unnest(range(s + 2, least(len, s + 20) + 1)) AS e
+  FROM (SELECT token, len, unnest(range(0, len - 1)) AS s FROM t))),
+g AS (SELECT token, s, list({{'e': e, 'w': ln(n + 1.0) - 0.25, 'part': part, 'known': n >= 2 OR part IN {sql_in(V.SMALL_WORDS)}}}) AS edges
+  FROM p JOIN c2 ON word = part GROUP BY 1, 2),
+r(token, i, states) AS (
+  SELECT token, len, [{{'score': 0.0::DOUBLE, 'near': 0::BIGINT, 'parts': []::VARCHAR[], 'known': true}}] FROM t
+  UNION ALL
+  SELECT r.token, r.i - 1, ([list_max(list_transform(list_filter(coalesce(g.edges, []), lambda x: states[(x.e - r.i + 1)::INT].parts IS NOT NULL),
+      lambda x: {{'score': round(x.w + states[(x.e - r.i + 1)::INT].score, 9), 'near': -x.e, 'parts': list_prepend(x.part, states[(x.e - r.i + 1)::INT].parts),
+        'known': x.known AND states[(x.e - r.i + 1)::INT].known}}))] || r.states)[1:21]
+  FROM r LEFT JOIN g ON g.token = r.token AND g.s = r.i - 1 WHERE r.i > 0)
+SELECT token, array_to_string(states[1].parts, ' ') AS parts FROM r WHERE i = 0 AND states[1].parts IS NOT NULL
+  AND len(states[1].parts) >= 2 AND states[1].score >= 3.5 AND states[1].known""")
+def segment_tokens(spark, d):
+    # The distinct words are counted once, for the vocabulary as for the tokens to part.
+    counted = materialised(G.words(table(spark, d, "documents"), "text"))
+    parts = G.segmentations(counted.select(F.col("word").alias("token")).where(G.hinted(F.col("token"))), G.vocabulary(counted))
     return parts.select("token", F.array_join("parts", " ").alias("parts"))

@@ -47,11 +47,10 @@ def resolve(titles: DataFrame, hits: DataFrame, entities: DataFrame, failures: D
     data = best_by(data, ["normalized_title", "id"], [F.desc("score"), F.asc("place")])
     lang = F.substring("site", F.lit(1), F.length("site") - 4)
     known = F.col("site").isNotNull()
-    base = lambda l, t: F.concat(F.lit("https://"), l, F.lit(".wikipedia.org/wiki/"), F.replace(F.replace(F.url_encode(F.replace(t, F.lit(" "), F.lit("_"))), F.lit("+"), F.lit("%20")), F.lit("%2F"), F.lit("/")))  # noqa: E731, E741
-    data = data.select("normalized_title", F.lit("wikidata-search").alias("method"), F.coalesce("link_title", "id").alias("label"), F.when(known, base(lang, F.col("link_title"))).otherwise(F.concat(F.lit("https://www.wikidata.org/wiki/"), "id")).alias("url"), F.when(F.col("site") == "enwiki", "wikipedia-en").when(F.col("site") == "dewiki", "wikipedia-de").when(known, "wikipedia-other").otherwise("wikidata").alias("source"), F.when(known, lang).otherwise("").alias("lang"), "score", F.col("id").alias("wikidata_id"))
+    data = data.select("normalized_title", F.lit("wikidata-search").alias("method"), F.coalesce("link_title", "id").alias("label"), F.when(known, wiki_url(lang, F.col("link_title"))).otherwise(F.concat(F.lit("https://www.wikidata.org/wiki/"), "id")).alias("url"), F.when(F.col("site") == "enwiki", "wikipedia-en").when(F.col("site") == "dewiki", "wikipedia-de").when(known, "wikipedia-other").otherwise("wikidata").alias("source"), F.when(known, lang).otherwise("").alias("lang"), "score", F.col("id").alias("wikidata_id"))
     wiki_texts = hits.where("source = 'wikipedia'").select("id", F.col("label").alias("text")).distinct()
     wiki = first_hits(scored_hits(titles, hits, wiki_texts, "wikipedia"))
-    wiki = wiki.select("normalized_title", F.lit("wikipedia-search").alias("method"), "label", F.when(F.col("language") == "de", wiki_url("de", F.col("label"))).otherwise(wiki_url("en", F.col("label"))).alias("url"), F.concat(F.lit("wikipedia-"), "language").alias("source"), F.col("language").alias("lang"), "score", F.lit("").alias("wikidata_id"))
+    wiki = wiki.select("normalized_title", F.lit("wikipedia-search").alias("method"), "label", wiki_url(F.col("language"), F.col("label")).alias("url"), F.concat(F.lit("wikipedia-"), "language").alias("source"), F.col("language").alias("lang"), "score", F.lit("").alias("wikidata_id"))
     order = [F.desc("score"), F.asc("source"), F.asc(F.lower("label")), F.asc("url")]
     top = best_by(data.unionByName(wiki), ["normalized_title", "method"], order, 3, "place")
     g = top.groupBy("normalized_title", "method").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "label", "url", "source", "lang", "score", "wikidata_id"))), lambda x: x).alias("c"))

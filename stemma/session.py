@@ -19,5 +19,8 @@ def materialised(df: DataFrame) -> DataFrame:
     down through all of them, and grow at each step."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/stemma-checkpoints")
+        root = sc.getConf().get("spark.checkpoint.dir", None)
+        if not root and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        sc.setCheckpointDir(root or f"{tempfile.gettempdir()}/stemma-checkpoints")
     return df.checkpoint(eager=True)

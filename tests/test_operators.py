@@ -70,11 +70,36 @@ def test_segmentation(spark):
     titles = ["Needfor Speed", "Age of Empires", "Rageof War", "speed war age", "zumspiel", "of the war", "empires empires", "chaosistdas"]
     parts = ["of", "the", "war", "age", "speed", "xy", "zu", "um", "empires", "rage"]
     tokens = sorted({"".join(random.choice(parts) for _ in range(random.randint(1, 5))) for _ in range(200)})
-    vocab = segment.vocabulary(spark.createDataFrame([(t,) for t in titles], "t string"), "t")
+    vocab = segment.vocabulary(segment.words(spark.createDataFrame([(t,) for t in titles], "t string"), "t"))
     counts = {r.word: r.n for r in vocab.collect()}
     assert counts["of"] == 200 + 2 and counts["empires"] == 25 + 3
     got = {r.token: " ".join(r.parts) for r in segment.segmentations(spark.createDataFrame([(t,) for t in tokens], "token string"), vocab).collect()}
     assert got == {t: s for t in tokens if (s := brute_segment(t, counts))}
+    long = "warage" * 3334
+    got = segment.segmentations(spark.createDataFrame([(long,)], "token string"), vocab).collect()
+    assert got and "".join(got[0].parts) == long and got[0].parts[:4] == ["war", "age", "war", "age"]
+
+
+def test_words_are_those_of_the_parted_title(spark):
+    """words() counts runs of letters first; split_camel and normalize_spaces on whole titles give the same words."""
+    from stemma.functions.text import normalize_spaces, split_camel
+
+    random.seed(5)
+    titles = ["".join(random.choice(["Need", "for", "SPEED", "Xy", "é", "Ü", "2", "12", "'", "’", "-", "–", " ", " ,", "a", "B", "\u00a0", "ß", "×"]) for _ in range(random.randint(0, 12))) for _ in range(800)] + [None]
+    df = spark.createDataFrame([(t,) for t in titles], "t string")
+    slow = df.select(F.explode(F.regexp_extract_all(split_camel(normalize_spaces(F.col("t"))), F.lit(f"[{segment.LETTERS}]+"), F.lit(0))).alias("w"))
+    from stemma.functions.fold import folded
+    from collections import Counter
+
+    want = Counter(folded(r.w).lower() for r in slow.collect())
+    assert {r.word: r.n for r in segment.words(df, "t").collect()} == dict(want)
+
+
+def test_compounds_of_repeated_titles(spark):
+    vocab = segment.vocabulary(segment.words(spark.createDataFrame([("Lord of War",)] * 4, "t string"), "t"))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["Lordofwar 2", "Lordofwar 2", "plain", "", " two  blanks "])], "i int, t string")
+    got = sorted((r.i, r.t, r.split_any) for r in segment.repair_compounds(df, "t", vocab).collect())
+    assert got == [(0, "Lord of War 2", True), (1, "Lord of War 2", True), (2, "plain", False), (3, "", False), (4, "two blanks", False)]
 
 
 def test_sections(spark):
@@ -132,6 +157,8 @@ def test_audit(spark):
     got = {r.strategy: (r.union_size, r.recall) for r in audit.recall(f, {"all": ["A", "B"]}).collect()}
     assert got == {"A": (2, 0.5), "B": (2, 1.0), "all": (2, 1.0)}
     a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y")], "a int, b string")
+    moved = [spark.createDataFrame([x], "a string, b string, c array<string>") for x in ((None, "x", ["p", None]), ("x", None, ["p", None]), (None, "x", [None, "p"]))]
+    assert len({audit.digest(m).first().digest for m in moved}) == 3
     assert audit.digest(a).first() == audit.digest(a.orderBy(F.desc("a")).select("b", "a")).first() != audit.digest(a.distinct()).first()
     n = audit.near_variants(spark.createDataFrame([("Für Elise",), ("Fuer elise!",), ("x",)], "t string"), "t").collect()
     assert [r.members for r in n] == [["Fuer elise!", "Für Elise"]]

@@ -64,6 +64,16 @@ def test_publish_end_to_end(spark):
     assert {r.drop_reason for r in t["dropped_candidates"].collect()} <= {"bad-substring", "bad-exact", "weak-singleword"}
 
 
+def test_publish_takes_repeated_rows(spark):
+    one = issue("Needfor Speed Carbonv 14")
+    rows = [one, one, one | {"confidence": "low"}, one | {"content_kind": "demo"}, issue("Prince of Persia"), issue("Ageof Empires The War Chiefs")]
+    t = publish.publish(frame(spark, S.ISSUE_TITLES, rows), frame(spark, ["normalized_title", *V.MATCH_FIELDS], []), frame(spark, S.OVERRIDES, []), frame(spark, S.REJECTIONS, []))
+    n = {k: v.count() for k, v in t.items()}
+    assert n["final_issue_titles"] + n["dropped_candidates"] == len(rows) and n["publishable_issue_titles"] == 3
+    got = {r.representative_title: (r.occurrence_count, r.observed_content_kinds) for r in t["publishable_master_games"].collect()}
+    assert got["Need for Speed Carbon"] == (4, "demo")
+
+
 def match(title, norm, year, qid=False):
     out = {"normalized_title": norm, "canonical_title": title, "canonical_slug": title.lower().replace(" ", "-"), "match_status": "matched", "match_confidence": "high", "match_source": "wikimedia", "entity_type": "game", "release_year": year, "genres": "g", "wikidata_id": "Q1"}
     return out | ({"match_source_url": "https://www.wikidata.org/wiki/Q1"} if qid else {"wikipedia_url": "https://en.wikipedia.org/wiki/X", "match_source_url": "https://en.wikipedia.org/wiki/X"})

@@ -1,14 +1,37 @@
+import html
+import random
+from urllib.parse import quote
+
 from pyspark.sql import functions as F
 
 from stemma.functions import rules as R
 from stemma.functions import text as T
-from stemma.functions.fold import ascii_fold, fold_any, folded
+from stemma.functions.fold import ascii_fold, folded
 
 
 def test_fold(one):
     words = ["Straße ẞ", "Élan vital", "naïve café", None, "é"]
     assert one(ascii_fold, *words) == ["Strasse SS", "Elan vital", "naive cafe", "", "e"]
-    assert one(fold_any, "ﬁn ½ Ä") == [folded("ﬁn ½ Ä")]
+    r = random.Random(1)
+    chars = lambda: (chr(r.choice([r.randrange(32, 0x250), r.randrange(32, 0x2500), r.randrange(32, 0xD800), r.randrange(0xE000, 0x2FFFF)])) for _ in range(r.randrange(12)))
+    odd = ["ﬁnal Ａge ½ Ⅳ … 한글 ẞ", "\x01\x02 Ａ", *("".join(chars()) for _ in range(2000))]
+    assert one(ascii_fold, *odd) == [folded(x) for x in odd]
+    assert one(T.public_title, "ﬁnal Ａge ½", "Ⅳ") == ["final age 1 2", "iv"]
+
+
+def test_character_references(one):
+    r = random.Random(2)
+    names = list(T.NAMED)
+    numbers = ["0", "13", "65", "128", "150", "159", "8364", "55296", "1114111", "1114112", "11", "65534", "1234567890", "65279", "x41", "X1F600", "xe4", "xFFFF", "xzz", "xfdd0"]
+    piece = lambda: r.choice([lambda: "&" + r.choice(names), lambda: "&#" + r.choice(numbers) + r.choice([";", ""]), lambda: r.choice(["&", "&#;", "&unknown;", "&notit;", "&ampx", "&amp;lt;", "a", "ä ", ";", "<"])])()
+    texts = ["".join(piece() for _ in range(r.randrange(8))) for _ in range(1500)]
+    assert one(T.unescaped, *texts) == [html.unescape(t) for t in texts]
+    assert one(T.html_text, "<p>M&uuml;ller &#38; S&#246;hne</p>") == ["\nMüller & Söhne\n"]
+
+
+def test_page_addresses(one):
+    titles = ["A*B~c/d (x) é+", "Anno 1602", "50% & more", "Ω_-."]
+    assert one(lambda c: T.wiki_url("de", c), *titles) == ["https://de.wikipedia.org/wiki/" + quote(t.replace(" ", "_")) for t in titles]
 
 
 def test_spaces_and_keys(one):

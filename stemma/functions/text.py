@@ -275,12 +275,6 @@ def archive_name(c: Column) -> Column:
     return let(code, parse)
 
 
-def parse_code(c: Column) -> Column:
-    """Struct (kind, number) of names such as Kind#000000001; null for others."""
-    ok = c.rlike(r"^[A-Za-z]+#[0-9]+$")
-    return F.when(ok, F.struct(F.split_part(c, F.lit("#"), F.lit(1)).alias("kind"), F.split_part(c, F.lit("#"), F.lit(2)).cast("bigint").alias("number")))
-
-
 def wiki_url(language: Column | str, title: Column) -> Column:
     """Address of a page: blanks as underlines, all but letters, digits, _.-~ and / in percent form."""
     quoted = F.url_encode(F.replace(title, F.lit(" "), F.lit("_")))

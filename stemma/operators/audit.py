@@ -21,25 +21,6 @@ def recall(found: DataFrame, merged: dict[str, list[str]] | None = None) -> Data
     return per.crossJoin(F.broadcast(all_)).withColumn("recall", share)
 
 
-def sufficient(titles: DataFrame, key: str, best: Column, structured: Column) -> DataFrame:
-    """Per key over (key, title, strategies = how many name it): whether what is found suffices, and why."""
-    g = titles.groupBy(key).agg(
-        F.count("*").alias("titles"),
-        F.count_if(F.col("strategies") >= 2).alias("agreed"),
-        F.bool_or(best).alias("best"),
-        F.bool_or(structured).alias("structured"),
-    )
-    reason = (
-        F.when(F.col("best"), "best source")
-        .when((F.col("titles") >= 3) & F.col("structured"), "structured list")
-        .when(F.col("titles") >= 4, "many titles")
-        .when((F.col("titles") >= 2) & F.col("structured"), "structured pair")
-        .when((F.col("titles") >= 3) & (F.col("agreed") >= 2), "sources agree")
-        .otherwise("incomplete")
-    )
-    return g.select(key, "titles", "agreed", reason.alias("reason"))
-
-
 def digest(df: DataFrame) -> DataFrame:
     """One row (n, digest) that doesn't depend on the order of rows or columns; repeated rows count, and so does where the
     nulls are: a hash skips nulls, so each column is hashed after the fact whether it is one, and nested values as JSON

@@ -21,7 +21,7 @@ def distinct_first(df: DataFrame, keys: list, order: list) -> DataFrame:
 
 def last_wins(df: DataFrame, key: str, order: list) -> DataFrame:
     """A map of rows where a later row replaces an earlier one of the same key; rows without a key are dropped."""
-    return best_by(df.where(F.col(key).isNotNull() & (F.col(key) != "")), [key], [c.desc() for c in order])
+    return best_by(df.where(F.col(key).isNotNull() & (F.col(key).cast("string") != "")), [key], [c.desc() for c in order])
 
 
 def first_of(value: Column, *order: Column) -> Column:

@@ -6,26 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import joined, safe
-
-#: Rows of a dimension up to which it is broadcast; larger ones are shuffled like any table.
-SMALL = 50_000
-
-
-def small(dim: DataFrame, rows: int | None = None) -> DataFrame:
-    """A broadcast hint, only where the caller has counted the rows; otherwise Spark's own size check decides."""
-    return F.broadcast(dim) if rows is not None and rows <= SMALL else dim
-
-
-def lookup(df: DataFrame, dim: DataFrame, on, fields: list[str], prefix: str = "") -> DataFrame:
-    """Left join; a missing field is the empty text."""
-    out = df.join(dim, on, "left")
-    return out.withColumns({prefix + f: safe(F.col(f)) for f in fields})
-
-
-def repaired(df: DataFrame, pairs: DataFrame, key: str, column: str) -> DataFrame:
-    """column replaced where pairs (key, repaired) holds its key."""
-    return df.join(pairs.withColumnRenamed("repaired", "__repaired"), key, "left").withColumn(column, F.coalesce("__repaired", column)).drop("__repaired")
-
+from .dedupe import last_wins
 
 def rejection_reasons(df: DataFrame, rejections: DataFrame, row_key: str, title: Column, slug: Column, source: Column) -> DataFrame:
     """df with rejection_notes: reasons of the rejections under the same normalized_title whose candidate is the row's title
@@ -65,8 +46,30 @@ def insert_absent(base: DataFrame, rows: DataFrame, keys: list[str], order: list
     return base.unionByName(distinct_first(rows, keys, order).join(base.select(*keys).distinct(), keys, "left_anti"))
 
 
-def delta(a: DataFrame, b: DataFrame, key: str, measure: Column, names=("n_before", "n_after")) -> DataFrame:
-    """Per key the measure in either table (0 where missing) and flags for new and gone keys."""
-    x, y = a.groupBy(key).agg(measure.alias(names[0])), b.groupBy(key).agg(measure.alias(names[1]))
+def pushed_down(rows: DataFrame, master: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """rows with these columns of their key's master row in place of their own; rows whose key has none are dropped."""
+    mine = {c.lower() for c in columns}
+    return rows.drop(*[c for c in rows.columns if c.lower() in mine]).join(master.select(key, *columns), key)
+
+
+def overridden(rows: DataFrame, overrides: DataFrame, hidden_classes: list[str]) -> DataFrame:
+    """rows with content_class replaced where overrides (game_id, content_class, publishable, reason; the last of a game in
+    the order of all columns) say one, manual_content_reason, and hidden: said not to be published, or of a hidden class."""
+    last = last_wins(overrides, "game_id", [F.col(c) for c in ("game_id", "representative_title", "content_class", "publishable", "reason")])
+    o = last.select("game_id", F.col("content_class").alias("__class"), F.lower(F.trim(safe(F.col("publishable")))).alias("__publish"), F.col("reason").alias("manual_content_reason"))
+    out = rows.join(o, "game_id", "left").withColumn("content_class", F.when(safe(F.col("__class")) != "", F.col("__class")).otherwise(F.col("content_class")))
+    hidden = F.coalesce(F.col("__publish").isin("0", "false", "no"), F.lit(False)) | F.col("content_class").isin(hidden_classes)
+    return out.withColumn("hidden", hidden).drop("__class", "__publish")
+
+
+def changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """(key, change) for the different keys that only one of two tables has: added or removed."""
+    x, y = (t.select(key).where(F.col(key).isNotNull() & (F.col(key) != "")).distinct() for t in (before, after))
+    return orphans(y, x, key).withColumn("change", F.lit("added")).unionByName(orphans(x, y, key).withColumn("change", F.lit("removed")))
+
+
+def delta(a: DataFrame, b: DataFrame, key: str, names=("n_before", "n_after")) -> DataFrame:
+    """Per key the number of rows in either table and flags for new and gone keys."""
+    x, y = (t.groupBy(key).agg(F.count("*").alias(n)) for t, n in zip((a, b), names, strict=True))
     out = x.join(y, key, "full_outer")
     return out.select(key, *[F.coalesce(n, F.lit(0)).alias(n) for n in names], F.col(names[0]).isNull().alias("added"), F.col(names[1]).isNull().alias("removed"))

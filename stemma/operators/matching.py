@@ -5,7 +5,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -66,21 +66,18 @@ def gap_status(df: DataFrame, keys: list[str], score: str, order: list, least: f
 
 def best_match(rows: DataFrame, key: str, fields: list[str], first_year: str) -> DataFrame:
     """The match of each group of alias rows (fields, source_title, alias_rejection_notes, first_year): one row per key
-    with the fields, match_quality, match_notes, match_action, had_match and demoted_titles. Ties of all three sort keys go
+    with the fields, match_quality, quality_notes, match_action and had_match. Ties of all three sort keys go
     to the row that comes first by ordinal."""
     q = R.match_quality(F.col, F.col(first_year).cast("int"))
     r = rows.withColumn("__q", q).withColumns({"__points": F.col("__q")["points"], "__notes": F.array_join(F.col("__q")["notes"], "; ")})
-    w = Window.partitionBy(key)
     target = F.when(F.col("match_status") == "matched", F.coalesce(F.nullif(safe(F.col("canonical_slug")), F.lit("")), F.nullif(safe(F.col("wikidata_id")), F.lit(""))))
-    r = r.withColumns(
-        {
-            "__targets": F.size(F.collect_set(target).over(w)),
-            "__ambiguous": F.max((F.col("match_status") == "ambiguous").cast("int")).over(w) == 1,
-            "had_match": F.max((F.col("match_status") == "matched").cast("int")).over(w) == 1,
-            "__titles": F.collect_list(F.struct((-F.col("__points")).alias("p"), safe(F.col("canonical_title")).alias("t"))).over(w),
-        }
+    # What the group says together is aggregated once per key and joined to its one best row.
+    g = r.groupBy(key).agg(
+        F.count_distinct(target).alias("__targets"),
+        (F.max((F.col("match_status") == "ambiguous").cast("int")) == 1).alias("__ambiguous"),
+        (F.max((F.col("match_status") == "matched").cast("int")) == 1).alias("had_match"),
     )
-    r = best_by(r, [key], [F.desc("__points"), F.desc(safe(F.col("canonical_title"))), F.desc(safe(F.col("wikipedia_url"))), F.asc("ordinal")])
+    r = best_by(r, [key], [F.desc("__points"), F.desc(safe(F.col("canonical_title"))), F.desc(safe(F.col("wikipedia_url"))), F.asc("ordinal")]).join(g, key)
     fill = R.is_qid(F.col("canonical_title")) & F.col("__notes").contains("raw_qid_title_backfill_candidate")
     r = r.withColumns(
         {
@@ -97,4 +94,4 @@ def best_match(rows: DataFrame, key: str, fields: list[str], first_year: str) ->
         "match_confidence": F.when(weak, "low").otherwise(F.col("match_confidence")),
         "notes": F.when(weak, public_notes(F.array("__notes", "notes"))).when(torn, public_notes(F.array(F.col("notes"), F.lit("cluster_has_multiple_canonical_targets")))).otherwise(safe(F.col("notes"))),
     }
-    return r.select(key, *[blank[f].alias(f) for f in fields], F.col("__points").alias("match_quality"), F.col("__notes").alias("quality_notes"), action.alias("match_action"), "had_match", F.transform(F.array_sort("__titles"), lambda x: x["t"]).alias("ranked_titles"))
+    return r.select(key, *[blank[f].alias(f) for f in fields], F.col("__points").alias("match_quality"), F.col("__notes").alias("quality_notes"), action.alias("match_action"), "had_match")

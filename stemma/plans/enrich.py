@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import rules as R
 from ..functions.text import joined, lenient_int, public_notes, public_reason, safe, slug
+from ..operators import joins as J
 from ..operators.dedupe import best_by, last_wins, ordered_list
 from ..operators.extract import alias_pairs
 from ..operators.matching import best_match
@@ -45,7 +46,7 @@ def enrich(issues: DataFrame, master: DataFrame, baseline: DataFrame, rejections
     e = e.withColumns({c: F.lit("") for c in S.UNFILLED}).withColumn("data_quality_score", R.quality_points(F.col))
     e = materialised(e)
     down = [*S.ENRICHED, "match_action", "match_notes", "data_quality_score"]
-    issue_rows = rows.drop("ordinal", *[c for c in down if c in rows.columns]).join(e.select("game_id", *down), "game_id")
+    issue_rows = J.pushed_down(rows.drop("ordinal"), e, "game_id", down)
     ranked = rank_aliases(alias_rows)
     top = best_by(ranked, ["game_id"], [F.asc("place")], 3).groupBy("game_id").agg(*[F.max(F.when(F.col("place") == i, F.col(c))).alias(f"candidate_{i}_{k}") for i in (1, 2, 3) for k, c in (("title", "canonical_title"), ("url", "match_source_url"))])
     named = [c.alias(n) for n, c in (("cluster_title", F.col("representative_title")), ("match_status", F.col("match_status")), ("match_confidence", F.col("match_confidence")), ("canonical_title", F.col("canonical_title")), ("canonical_slug", F.col("canonical_slug")))]
@@ -58,7 +59,7 @@ def enrich(issues: DataFrame, master: DataFrame, baseline: DataFrame, rejections
     demoted = e.where("match_action = 'demoted_weak_alias_match' and had_match").withColumn("demotion_reason", public_reason(F.coalesce(F.nullif("quality_notes", F.lit("")), F.col("notes")))).join(told, "game_id")
     texts = lambda df, cols: df.select([safe(F.col(c)).alias(c) for c in cols])
     return {
-        "enriched_master_games": e.drop("notes", "quality_notes", "match_quality", "had_match", "ranked_titles"),
+        "enriched_master_games": e.drop("notes", "quality_notes", "match_quality", "had_match"),
         "enriched_issue_titles": issue_rows,
         "title_aliases": texts(aliases, S.ALIASES),
         "ambiguous_matches": texts(ambiguous, S.AMBIGUOUS),

@@ -24,6 +24,11 @@ def archives(*tables: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+def still_open(tried: DataFrame, unresolved: DataFrame) -> DataFrame:
+    """Archives that were tried and are unresolved all the same."""
+    return tried.select("archive_name").intersect(archives(unresolved))
+
+
 def merge(base: dict[str, DataFrame], retry: dict[str, DataFrame], queue: DataFrame, candidates: DataFrame | None = None) -> dict[str, DataFrame]:
     """base and retry: issue_titles, master_games, unresolved_issues; queue: the archives that were to be retried."""
     for side, t in (("base", base), ("retry", retry)):
@@ -37,18 +42,16 @@ def merge(base: dict[str, DataFrame], retry: dict[str, DataFrame], queue: DataFr
     open_ = J.overlay(base["unresolved_issues"], retry["unresolved_issues"], "archive_name", tried).select(S.UNRESOLVED)
     master = G.rebuilt_master(ordered(issues, ORDER)).select(S.MASTER_GAMES)
     count = lambda t, n: t.groupBy("archive_name").agg(F.count("*").alias(n))
-    flag = lambda t, n: archives(t).withColumn(n, F.lit(True))
+    flag = lambda t, n: t.select("archive_name").withColumn(n, F.lit(True))
     report = tried
     for t, n in ((base["issue_titles"], "base_rows"), (retry["issue_titles"], "retry_rows"), (issues, "merged_rows")):
         report = report.join(count(t, n), "archive_name", "left")
-    for t, n in ((base["unresolved_issues"], "open_before"), (open_, "open_after"), (retry["unresolved_issues"], "still_open")):
+    for t, n in ((archives(base["unresolved_issues"]), "open_before"), (archives(open_), "open_after"), (still_open(tried, retry["unresolved_issues"]), "still_open")):
         report = report.join(flag(t, n), "archive_name", "left")
-    titles = lambda t: t.select("normalized_title").where("normalized_title <> ''").distinct()
-    added, removed = J.orphans(titles(master), titles(base["master_games"]), "normalized_title"), J.orphans(titles(base["master_games"]), titles(master), "normalized_title")
     return {
         "issue_titles": issues,
         "master_games": master,
         "unresolved_issues": open_,
         "archives": report.na.fill(0, ["base_rows", "retry_rows", "merged_rows"]).na.fill(False, ["open_before", "open_after", "still_open"]),
-        "titles": added.withColumn("change", F.lit("added")).union(removed.withColumn("change", F.lit("removed"))),
+        "titles": J.changes(base["master_games"], master, "normalized_title"),
     }

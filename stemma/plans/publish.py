@@ -62,14 +62,11 @@ def prepared(rows: DataFrame, baseline: DataFrame, overrides: DataFrame, rejecti
     out = C.clean_titles(src, "source_title", "content_kind", materialised(vocab))
     out = out.withColumns({"representative_title": F.col("cleaned_title"), "normalized_title": F.col("cleaned_normalized"), "title_cleanup_flags": F.array_join("flags", "; ")}).drop("flags", "cleaned_normalized")
     out = with_matches(materialised(out), "source_normalized_title", baseline, rejections, "ordinal")
-    o = last_wins(overrides, "game_id", [F.col(c) for c in S.OVERRIDES]).select("game_id", F.col("content_class").alias("__class"), F.lower(F.trim(safe(F.col("publishable")))).alias("__publish"), F.col("reason").alias("manual_content_reason"))
-    out = out.join(o, "game_id", "left").withColumn("content_class", F.when(safe(F.col("__class")) != "", F.col("__class")).otherwise(F.col("content_class")))
-    hidden = F.coalesce(F.col("__publish").isin("0", "false", "no"), F.lit(False)) | F.col("content_class").isin(R.NOT_GAMES)
-    out = materialised(out.withColumn("__hidden", hidden))
-    shown = J.trailing_zero(out.where("not __hidden"), "game_id")
+    out = materialised(J.overridden(out, overrides, R.NOT_GAMES))
+    shown = J.trailing_zero(out.where("not hidden"), "game_id")
     flags = joined(F.array(F.col("title_cleanup_flags"), F.lit("merged_trailing_zero_ocr")))
     shown = shown.withColumn("title_cleanup_flags", F.when(F.col("merged"), flags).otherwise(F.col("title_cleanup_flags"))).drop("merged")
-    return shown.drop("__hidden", "__class", "__publish"), out.where("__hidden").drop("__hidden", "__class", "__publish")
+    return shown.drop("hidden"), out.where("hidden").drop("hidden")
 
 
 def masters(issues: DataFrame) -> DataFrame:
@@ -104,7 +101,7 @@ def publish(issues: DataFrame, baseline: DataFrame, overrides: DataFrame, reject
     clustered = materialised(G.issue_clusters(shown))
     master = materialised(masters(clustered))
     down = ["normalized_title", "representative_title", "content_class", "cleanup_flags", "merge_confidence", *S.PUSHED]
-    issue_rows = clustered.drop(*down).join(master.select("game_id", *down), "game_id")
+    issue_rows = J.pushed_down(clustered, master, "game_id", down)
     return {
         "final_issue_titles": kept.select(S.FINAL_ISSUES),
         "final_master_games": final_master,

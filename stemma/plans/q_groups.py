@@ -17,15 +17,6 @@ def stamp(c: str):
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
-@query("""
-SELECT user_id, event_type, event_id AS first_event, n FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS k,
-         count(*) OVER (PARTITION BY user_id, event_type) AS n FROM events) WHERE k = 1""")
-def first_seen_dedup(spark, d):
-    e = table(spark, d, "events")
-    return e.groupBy("user_id", "event_type").agg(D.first_of(F.col("event_id"), F.col("ts"), F.col("event_id")).alias("first_event"), F.count("*").alias("n"))
-
-
 @query("""
 SELECT sha256(text) AS digest, min(doc_id) AS first_doc, count(*) AS n, count(DISTINCT source) AS sources
 FROM documents GROUP BY 1""")
@@ -82,34 +73,6 @@ def master_rebuild(spark, d):
     return t.groupBy("lang").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("occurrence_count"), F.count_distinct("source").alias("issue_count"), F.array_join(D.sorted_set(F.col("source")), ",").alias("source_kinds"), F.max("n_chars").alias("longest"))
 
 
-@query("""
-SELECT o_orderstatus AS status, count(*) AS n, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS urgent,
-       count(*) FILTER (WHERE o_totalprice >= 100000) AS large, count(*) FILTER (WHERE o_totalprice >= 10000) AS medium
-FROM orders GROUP BY 1""")
-def status_counts(spark, d):
-    o = table(spark, d, "orders")
-    return o.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"), F.count_if(F.col("o_totalprice") >= 100000).alias("large"), F.count_if(F.col("o_totalprice") >= 10000).alias("medium"))
-
-
-@query("""
-WITH t AS (SELECT DISTINCT split_part(text, chr(10), 1) AS title FROM documents), k AS (
-  SELECT title, regexp_replace(replace(replace(replace(replace(lower(title), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss'),
-         '[^a-z0-9]+', '', 'g') AS key FROM t)
-SELECT key, count(*) AS titles, string_agg(title, ' | ' ORDER BY title) AS members FROM k GROUP BY key HAVING count(*) > 1""")
-def near_variant_groups(spark, d):
-    t = table(spark, d, "documents").select(F.split_part("text", F.lit("\n"), F.lit(1)).alias("title")).distinct()
-    g = t.groupBy(variant_fold(F.col("title")).alias("key")).agg(F.count("*").alias("titles"), F.array_join(D.sorted_set(F.col("title")), " | ").alias("members"))
-    return g.where("titles > 1")
-
-
-@query("""
-SELECT count(*) AS n, count(*) FILTER (WHERE event_type = 'purchase') AS purchases, count(DISTINCT user_id) AS users,
-       arg_max(event_id, (ts, event_id)) AS latest_event, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS latest FROM events""")
-def progress_summary(spark, d):
-    e = table(spark, d, "events")
-    return e.agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "purchase").alias("purchases"), F.count_distinct("user_id").alias("users"), D.last_of(F.col("event_id"), F.col("ts"), F.col("event_id")).alias("latest_event"), F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("latest"))
-
-
 @query("""
 SELECT o_orderkey, year(o_orderdate)::BIGINT AS year,
   CASE WHEN year(o_orderdate) <= 2004 THEN 'early' WHEN year(o_orderdate) <= 2010 THEN 'late' ELSE 'modern' END AS year_bucket,
@@ -136,21 +99,6 @@ def top100_rank(spark, d):
     return t.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
-@query("""
-WITH m AS (
-  SELECT p_name AS title, 2 AS kind_rank, p_brand AS path FROM part UNION ALL
-  SELECT p_name, 1, p_type FROM part WHERE p_size > 25
-), u AS (SELECT DISTINCT title, kind_rank, path FROM m)
-SELECT title, kind_rank, path, row_number() OVER (ORDER BY title, kind_rank DESC, path) AS place
-FROM u ORDER BY title, kind_rank DESC, path LIMIT 500""")
-def merge_ranked(spark, d):
-    p = table(spark, d, "part")
-    a = p.select(F.col("p_name").alias("title"), F.lit(2).alias("kind_rank"), F.col("p_brand").alias("path"))
-    b = p.where("p_size > 25").select(F.col("p_name").alias("title"), F.lit(1).alias("kind_rank"), F.col("p_type").alias("path"))
-    order = [F.asc("title"), F.desc("kind_rank"), F.asc("path")]
-    return S.top(a.unionByName(b).distinct(), order, 500).withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-
-
 @query("""
 WITH h AS (SELECT doc_id, lang, source, md5('1|' || doc_id::VARCHAR) AS h FROM documents), s AS (
   SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY h, doc_id) AS k FROM h)
@@ -182,20 +130,6 @@ def set_except(spark, d):
     return a.distinct().join(e.where("event_type = 'purchase' and value > 50").select("user_id"), "user_id", "left_anti")
 
 
-@query("""
-SELECT user_id FROM events WHERE event_type = 'view' INTERSECT SELECT user_id FROM events WHERE event_type = 'purchase'""")
-def set_intersect(spark, d):
-    e = table(spark, d, "events")
-    return e.where("event_type = 'view'").select("user_id").intersect(e.where("event_type = 'purchase'").select("user_id"))
-
-
-@query("""
-SELECT c_custkey AS k FROM customer WHERE c_acctbal < 0 UNION SELECT o_custkey FROM orders WHERE o_totalprice > 100000""")
-def set_union(spark, d):
-    c, o = table(spark, d, "customer"), table(spark, d, "orders")
-    return c.where("c_acctbal < 0").select(F.col("c_custkey").alias("k")).union(o.where("o_totalprice > 100000").select("o_custkey")).distinct()
-
-
 @query("""
 SELECT o_custkey, count(DISTINCT o_orderpriority) AS targets, string_agg(DISTINCT o_orderpriority, '; ' ORDER BY o_orderpriority) AS names
 FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) > 1""")
@@ -217,21 +151,6 @@ def recall_vs_union(spark, d):
     return recall(e, {"merged": ["view", "click"]})
 
 
-@query("""
-WITH a AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2),
-s AS (SELECT user_id, count(*) AS titles, count(*) FILTER (WHERE n >= 2) AS agreed, bool_or(event_type = 'purchase') AS best,
-             bool_or(event_type IN ('view', 'click')) AS structured FROM a GROUP BY 1)
-SELECT user_id, titles, agreed,
-  CASE WHEN best THEN 'best source' WHEN titles >= 3 AND structured THEN 'structured list' WHEN titles >= 4 THEN 'many titles'
-       WHEN titles >= 2 AND structured THEN 'structured pair' WHEN titles >= 3 AND agreed >= 2 THEN 'sources agree' ELSE 'incomplete' END AS reason
-FROM s""")
-def sufficiency(spark, d):
-    from ..operators.audit import sufficient
-
-    e = table(spark, d, "events").groupBy("user_id", F.col("event_type").alias("title")).agg(F.count("*").alias("strategies"))
-    return sufficient(e, "user_id", best=F.col("title") == "purchase", structured=F.col("title").isin("view", "click"))
-
-
 @query("""
 SELECT count(*) AS n, true AS same FROM (SELECT o_custkey, count(*) AS c, min(o_orderkey) AS k FROM orders GROUP BY 1)""")
 def determinism_hash(spark, d):
@@ -256,11 +175,3 @@ def verdict(spark, d):
     return decide(orphans, twice)
 
 
-@query("""
-SELECT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS latest, event_id, value FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""")
-def upsert_incremental(spark, d):
-    from ..streaming.incremental import daily_upsert
-
-    out = daily_upsert(table(spark, d, "events"), ["user_id", "event_type"], "ts", "event_id")
-    return out.select("user_id", "event_type", stamp("ts").alias("latest"), "event_id", "value")

@@ -10,24 +10,6 @@ from ..operators import joins as J
 from ..operators import matching as M
 from .registry import query, table
 
-REPAIRS = [("FRANCE", "République Française"), ("GERMANY", "Deutschland"), ("CHINA", "中国")]
-
-
-@query("""
-WITH r(normalized, repaired) AS (VALUES ('FRANCE', 'République Française'), ('GERMANY', 'Deutschland'), ('CHINA', '中国'))
-SELECT n_nationkey, coalesce(repaired, n_name) AS n_name, r_name FROM nation JOIN region ON r_regionkey = n_regionkey LEFT JOIN r ON normalized = n_name""")
-def dict_repair(spark, d):
-    n = table(spark, d, "nation").withColumn("key", F.col("n_name"))
-    n = J.repaired(n, J.small(spark.createDataFrame(REPAIRS, "key string, repaired string"), len(REPAIRS)), "key", "n_name")
-    return n.join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
-
-
-@query("""
-SELECT o_orderkey, coalesce(c_name, '') AS c_name, coalesce(c_mktsegment, '') AS c_mktsegment
-FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0""")
-def lookup_enrich(spark, d):
-    c = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
-    return J.lookup(table(spark, d, "orders").select("o_orderkey", "o_custkey"), c, "o_custkey", ["c_name", "c_mktsegment"]).select("o_orderkey", "c_name", "c_mktsegment")
 
 
 @query("""
@@ -42,14 +24,6 @@ def rejection_theta(spark, d):
     return J.rejection_reasons(p, r, "p_partkey", F.col("p_type"), F.lit(""), F.col("p_brand")).select("p_partkey", "rejection_notes")
 
 
-@query("""
-SELECT d.doc_id, CASE WHEN l.quality = 0 THEN 'excluded' ELSE lang END AS class, coalesce(l.toxic, 0) = 0 AS publishable
-FROM documents d LEFT JOIN labels l USING (doc_id)""")
-def override_flag(spark, d):
-    t = table(spark, d, "documents").select("doc_id", "lang").join(table(spark, d, "labels"), "doc_id", "left")
-    return t.select("doc_id", F.when(F.col("quality") == 0, "excluded").otherwise(F.col("lang")).alias("class"), (F.coalesce("toxic", F.lit(0)) == 0).alias("publishable"))
-
-
 @query("""
 WITH k AS (SELECT c_custkey::VARCHAR AS k FROM customer)
 SELECT a.k AS source, CASE WHEN b.k IS NOT NULL THEN b.k ELSE a.k END AS key, b.k IS NOT NULL AS merged
@@ -59,25 +33,6 @@ def trailing_zero_merge(spark, d):
     return J.trailing_zero(c, "key").select("source", "key", "merged")
 
 
-@query("""
-WITH a AS (SELECT o_custkey, count(*) AS n, max(o_totalprice) AS largest, min(o_orderkey) AS first_order FROM orders GROUP BY 1)
-SELECT o_orderkey, n, largest, first_order FROM orders JOIN a USING (o_custkey)""")
-def master_pushdown(spark, d):
-    o = table(spark, d, "orders")
-    a = o.groupBy("o_custkey").agg(F.count("*").alias("n"), F.max("o_totalprice").alias("largest"), F.min("o_orderkey").alias("first_order"))
-    return o.select("o_orderkey", "o_custkey").join(a, "o_custkey").select("o_orderkey", "n", "largest", "first_order")
-
-
-@query("""
-SELECT (SELECT count(*) FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)) AS orphans,
-       (SELECT count(*) FROM lineitem JOIN orders ON o_orderkey = l_orderkey) AS matched""")
-def referential_check(spark, d):
-    li = table(spark, d, "lineitem").select("l_orderkey")
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
-    flagged = li.join(o.withColumn("found", F.lit(True)), "l_orderkey", "left")
-    return flagged.agg(F.count_if(F.col("found").isNull()).alias("orphans"), F.count_if(F.col("found").isNotNull()).alias("matched"))
-
-
 @query("""
 WITH retry AS (SELECT o_orderkey, o_custkey, 'R' AS o_orderstatus, round(o_totalprice * 2, 2) AS o_totalprice FROM orders WHERE o_custkey % 7 = 0 AND o_orderstatus = 'F')
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM retry) UNION ALL SELECT * FROM retry""")
@@ -109,14 +64,6 @@ def ratio_score(spark, d):
     return M.candidate_scores(v.join(c, "k"), ["p_name"], "p_name", "label")
 
 
-@query("""
-WITH a AS (SELECT user_id, count(*) AS n_before FROM events WHERE event_id % 97 < 3 GROUP BY 1), b AS (SELECT user_id, count(*) AS n_after FROM events WHERE event_id % 89 > 85 GROUP BY 1)
-SELECT user_id, coalesce(n_before, 0) AS n_before, coalesce(n_after, 0) AS n_after, n_before IS NULL AS added, n_after IS NULL AS removed FROM a FULL JOIN b USING (user_id)""")
-def delta_full_outer(spark, d):
-    e = table(spark, d, "events")
-    return J.delta(e.where("event_id % 97 < 3"), e.where("event_id % 89 > 85"), "user_id", F.count("*"))
-
-
 @query("""
 WITH k AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders)
 SELECT o_custkey, max(o_orderkey) FILTER (WHERE k = 1) AS candidate_1, max(o_orderkey) FILTER (WHERE k = 2) AS candidate_2, max(o_orderkey) FILTER (WHERE k = 3) AS candidate_3

@@ -55,49 +55,24 @@ def master_catalogue(spark, d):
 
 
 @query("""
-WITH c AS (SELECT user_id, event_type, event_id, CASE WHEN value > 50 THEN 3 WHEN value > 10 THEN 2 ELSE 1 END AS rank FROM events)
-SELECT user_id::VARCHAR AS archive_name, event_type AS normalized_title, arg_min(event_id::VARCHAR, (-rank, lpad(event_id::VARCHAR, 12, '0'))) AS representative_title,
-  CASE max(rank) WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS confidence, string_agg(DISTINCT 'kind' || (event_id % 3), ',' ORDER BY 'kind' || (event_id % 3)) AS source_kinds FROM c GROUP BY 1, 2""")
-def issue_title_best(spark, d):
-    e = table(spark, d, "events")
-    conf = F.when(F.col("value") > 50, "high").when(F.col("value") > 10, "medium").otherwise("low")
-    found = e.select(F.col("user_id").cast("string").alias("archive_name"), F.col("event_type").alias("normalized_title"), F.col("event_id").cast("string").alias("candidate_title"), F.concat(F.lit("kind"), (F.col("event_id") % 3).cast("string")).alias("source_kind"), F.lpad(F.col("event_id").cast("string"), 12, "0").alias("source_path"), conf.alias("confidence"))
-    best = D.best_by(found, ["archive_name", "normalized_title"], [F.desc(F.when(F.col("confidence") == "high", 3).when(F.col("confidence") == "medium", 2).otherwise(1)), F.asc("source_path")])
-    kinds = found.groupBy("archive_name", "normalized_title").agg(F.array_join(D.sorted_set(F.col("source_kind")), ",").alias("source_kinds"))
-    return best.select("archive_name", "normalized_title", F.col("candidate_title").alias("representative_title"), "confidence").join(kinds, ["archive_name", "normalized_title"])
-
-
-@query("""
-SELECT l_orderkey, l_linenumber, l_partkey, 'base' AS version FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_partkey % 50 = 0)
-UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'rerun' FROM lineitem WHERE l_partkey % 50 = 0""")
-def replace_units(spark, d):
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    again = li.where("l_partkey % 50 = 0").withColumn("version", F.lit("rerun"))
-    return J.overlay(li.withColumn("version", F.lit("base")), again, "l_orderkey")
-
-
-@query("""
-WITH c AS (SELECT c_custkey, o_orderkey FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_acctbal > 9000),
-n AS (SELECT o_custkey AS c_custkey, o_orderkey FROM orders WHERE o_totalprice > 400000)
-SELECT c_custkey, o_orderkey FROM c UNION SELECT c_custkey, o_orderkey FROM n""")
+WITH b AS (SELECT o_custkey, o_orderpriority, o_orderkey FROM orders WHERE o_orderstatus = 'F'),
+n AS (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1, 2)
+SELECT * FROM b UNION ALL SELECT n.* FROM n LEFT JOIN (SELECT DISTINCT o_custkey AS c, o_orderpriority AS p FROM b) ON c = o_custkey AND p = o_orderpriority WHERE c IS NULL""")
 def insert_if_absent(spark, d):
-    c, o = table(spark, d, "customer").where("c_acctbal > 9000").select("c_custkey"), table(spark, d, "orders")
-    base = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("c_custkey", "o_orderkey")
-    new = o.where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    return J.insert_absent(base, new, ["c_custkey", "o_orderkey"], [F.asc("o_orderkey")])
+    o = table(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_orderkey", "o_orderstatus")
+    base, new = (o.where(c).drop("o_orderstatus") for c in ("o_orderstatus = 'F'", "o_orderstatus <> 'F'"))
+    return J.insert_absent(base, new, ["o_custkey", "o_orderpriority"], [F.asc("o_orderkey")])
 
 
 @query(None)
 def published_games(spark, d):
-    """The whole publish plan over candidates made from every document's first line."""
-    from ..functions.text import public_title
-    from .q_text import KINDS
+    """The whole publish plan over candidates made from every sentence of every document."""
+    from .q_text import doc_candidates
 
-    t = table(spark, d, "documents").withColumn("title", F.trim(F.regexp_extract(F.split_part("text", F.lit("\n"), F.lit(1)), "^[^.]*", 0)))
-    kind = F.element_at(F.array(*map(F.lit, KINDS)), (F.col("doc_id") % 4 + 1).cast("int"))
+    t = doc_candidates(spark, d)
     rows = t.select(
         F.lit("corpus").alias("archive_item"), F.concat("source", F.lit(".7z")).alias("archive_name"), F.col("source").alias("issue_code"), (F.col("doc_id") % 20 + 2000).cast("string").alias("year"), F.lit("CD").alias("variant"),
-        public_title(F.col("title")).alias("normalized_title"), F.col("title").alias("representative_title"), kind.alias("source_kinds"), F.lit("high").alias("confidence"), F.lit("unknown").alias("content_kind"),
+        F.col("norm").alias("normalized_title"), F.col("title").alias("representative_title"), F.col("kinds").alias("source_kinds"), F.lit("high").alias("confidence"), F.lit("unknown").alias("content_kind"),
     )
     none = lambda columns: spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
     from ..functions.fixed_values import MATCH_FIELDS

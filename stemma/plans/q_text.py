@@ -61,20 +61,6 @@ def content_class(spark, d):
     return t.select("p_partkey", "content_class", R.content_form(kind, F.col("content_class")).alias("content_form"))
 
 
-@query(f"""
-WITH t AS (SELECT p_partkey, p_brand, {TITLE_SQL} AS title FROM part), k AS (
-  SELECT *, {class_sql(public_sql('title'))} AS c, {key_sql('title')} AS game_id FROM t)
-SELECT game_id, arg_min(title, (length(title), title)) AS display, arg_min(c, p_partkey) AS content_class, count(DISTINCT p_brand) AS issue_count,
-       count(*) AS occurrence_count, string_agg(DISTINCT title, '; ' ORDER BY title) AS alias_titles
-FROM k WHERE c IN ('utility', 'editor_sdk', 'guide_media', 'disc_noise') GROUP BY 1""")
-def excluded_clusters(spark, d):
-    from ..operators.dedupe import first_of, sorted_set
-
-    t = titles(spark, d).withColumns({"c": R.content_class(F.col("title")), "game_id": T.cluster_key(F.col("title"))})
-    g = t.where(F.col("c").isin(R.NOT_GAMES)).groupBy("game_id")
-    return g.agg(first_of(F.col("title"), F.length("title"), F.col("title")).alias("display"), first_of(F.col("c"), F.col("p_partkey")).alias("content_class"), F.count_distinct("p_brand").alias("issue_count"), F.count("*").alias("occurrence_count"), F.array_join(sorted_set(F.col("title")), "; ").alias("alias_titles"))
-
-
 KINDS = ["disc-metadata-value", "disc-manifest-path", "vollversion-fullversion,disc-exe-name", "disc-metadata-command"]
 
 
@@ -108,46 +94,47 @@ def reason_sql(title: str, norm: str, kinds: str) -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in rules) + " ELSE 'weak-singleword' END"
 
 
-#: A candidate from each document: its first line, cut at the first full stop or bar.
+#: The candidates of each document: all that stands between full stops and line ends.
 CANDIDATE_SQL = f"""
-SELECT doc_id, lang, source, title, {public_sql('title')} AS norm, ({sql_list(KINDS)})[(doc_id % 4 + 1)::INT] AS kinds
-FROM (SELECT *, trim(regexp_extract(split_part(text, chr(10), 1), '^[^.]*')) AS title FROM documents)"""
+SELECT doc_id, n, lang, source, title, {public_sql('title')} AS norm, ({sql_list(KINDS)})[((doc_id + n) % 4 + 1)::INT] AS kinds
+FROM (SELECT doc_id, lang, source, i - 1 AS n, trim(a[i]) AS title FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM (SELECT *, string_split_regex(text, '[.\\n]') AS a FROM documents))) WHERE title <> ''"""
 
 
 def doc_candidates(spark, d):
-    t = table(spark, d, "documents").withColumn("title", F.trim(F.regexp_extract(F.split_part("text", F.lit("\n"), F.lit(1)), "^[^.]*", 0)))
-    return t.select("doc_id", "lang", "source", "title", T.public_title(F.col("title")).alias("norm"), F.element_at(F.array(*map(F.lit, KINDS)), (F.col("doc_id") % 4 + 1).cast("int")).alias("kinds"))
+    t = table(spark, d, "documents").select("doc_id", "lang", "source", F.posexplode(F.split("text", "[.\n]")).alias("n", "title")).withColumn("title", F.trim("title")).where("title <> ''")
+    kinds = F.element_at(F.array(*map(F.lit, KINDS)), ((F.col("doc_id") + F.col("n")) % 4 + 1).cast("int"))
+    return t.select("doc_id", F.col("n").cast("bigint").alias("n"), "lang", "source", "title", T.public_title(F.col("title")).alias("norm"), kinds.alias("kinds"))
 
 
-@query(f"WITH c AS ({CANDIDATE_SQL}) SELECT doc_id, r AS reason, r IN {sql_in(R.KEEP)} AS keep FROM (SELECT doc_id, {reason_sql('title', 'norm', 'kinds')} AS r FROM c)")
+@query(f"WITH c AS ({CANDIDATE_SQL}) SELECT doc_id, n, r AS reason, r IN {sql_in(R.KEEP)} AS keep FROM (SELECT doc_id, n, {reason_sql('title', 'norm', 'kinds')} AS r FROM c)")
 def rule_chain_reason(spark, d):
     c = doc_candidates(spark, d).withColumn("reason", R.title_reason(F.col("title"), F.col("norm"), F.col("kinds")))
-    return c.select("doc_id", "reason", F.col("reason").isin(R.KEEP).alias("keep"))
+    return c.select("doc_id", "n", "reason", F.col("reason").isin(R.KEEP).alias("keep"))
 
 
 _alpha = "list_filter(string_split(norm, ' '), lambda w: regexp_full_match(w, '[a-z]+'))"
 
 
 @query(f"""
-WITH c AS ({CANDIDATE_SQL}) SELECT doc_id, title FROM c WHERE contains(kinds, 'vollversion-fullversion') OR (contains(kinds, 'disc-metadata-value')
+WITH c AS ({CANDIDATE_SQL}) SELECT doc_id, n, title FROM c WHERE contains(kinds, 'vollversion-fullversion') OR (contains(kinds, 'disc-metadata-value')
   AND norm NOT IN {sql_in(V.STRICT_EXACT)} AND NOT ({' OR '.join(f'contains(lower(title), {sql_text(p)})' for p in V.STRICT_PARTS)})
   AND (len({_alpha}) = 0 OR len(list_filter({_alpha}, lambda w: length(w) >= 4)) > 0)
   AND NOT (len({_alpha}) >= 3 AND len(list_filter({_alpha}, lambda w: length(w) <= 2)) >= 2))""")
 def publishable_filter(spark, d):
-    return doc_candidates(spark, d).where(R.publishable(F.col("title"), F.col("norm"), F.col("kinds"))).select("doc_id", "title")
+    return doc_candidates(spark, d).where(R.publishable(F.col("title"), F.col("norm"), F.col("kinds"))).select("doc_id", "n", "title")
 
 
 FAILURES = ["HTTP Error 503: busy", "Could not resolve host: x", "Connection timed out", "HTTP Error 429: Too Many Requests", "urlopen error: refused", "no space left", ""]
 
 
 @query(f"""
-WITH r AS (SELECT event_id, event_type, ({sql_list(FAILURES)})[(event_id % 7 + 1)::INT] AS reason FROM events WHERE event_type = 'error')
+WITH r AS (SELECT event_id, event_type, ({sql_list(FAILURES)})[(event_id % 7 + 1)::INT] AS reason FROM events)
 SELECT event_id, CASE WHEN contains(lower(reason), 'could not resolve host') OR contains(lower(reason), '503') OR contains(lower(reason), 'connection timed out')
     OR contains(lower(reason), 'broken pipe') THEN 'network/download' ELSE 'other' END AS root_cause,
   CASE WHEN contains(lower(reason), 'http error 429') OR contains(lower(reason), 'too many requests') THEN 'reference_lookup_rate_limited'
     WHEN contains(lower(reason), 'urlopen error') OR contains(lower(reason), 'timed out') THEN 'reference_lookup_failed' ELSE trim(reason) END AS public_reason FROM r""")
 def root_cause(spark, d):
-    e = table(spark, d, "events").where("event_type = 'error'")
+    e = table(spark, d, "events")
     e = e.withColumn("reason", F.element_at(F.array(*map(F.lit, FAILURES)), (F.col("event_id") % 7 + 1).cast("int")))
     return e.select("event_id", R.root_cause(F.col("reason"))["root_cause"].alias("root_cause"), T.public_reason(F.col("reason")).alias("public_reason"))
 
@@ -232,13 +219,6 @@ def suffix_fixpoint(spark, d):
     return t.select("p_partkey", F.col("s.text").alias("stripped"), "s.descriptor", "s.version")
 
 
-@query("""SELECT s_suppkey AS id, split_part(s_name, '#', 1) AS kind, split_part(s_name, '#', 2)::BIGINT AS number FROM supplier
-UNION ALL SELECT c_custkey, split_part(c_name, '#', 1), split_part(c_name, '#', 2)::BIGINT FROM customer""")
-def parse_code(spark, d):
-    one = lambda t, i, n: table(spark, d, t).select(F.col(i).alias("id"), T.parse_code(F.col(n)).alias("p")).select("id", "p.kind", "p.number")
-    return one("supplier", "s_suppkey", "s_name").unionByName(one("customer", "c_custkey", "c_name"))
-
-
 #: The references that occur in the pages.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
@@ -259,14 +239,17 @@ def html_texts(spark, d):
 
 
 @query("""
-WITH l AS (SELECT doc_id, regexp_replace(trim(split_part(text, chr(10), 1)), '^[\\s*•\\-]+', '') AS t FROM documents),
-p AS (SELECT doc_id, CASE WHEN len(a) = 1 AND length(t) - length(replace(t, ',', '')) >= 2 THEN string_split(t, ',') ELSE a END AS a
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, i - 1 AS line_no, regexp_replace(trim(ls[i]), '^[\\s*•\\-]+', '') AS t FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+p AS (SELECT doc_id, line_no, CASE WHEN len(a) = 1 AND length(t) - length(replace(t, ',', '')) >= 2 THEN string_split(t, ',') ELSE a END AS a
   FROM (SELECT *, string_split_regex(t, '\\s*[•;]\\s*|\\s+\\|\\s+|\\s+/\\s+|\\s+\\*\\s+|\\s+-\\s+') AS a FROM l)),
-i AS (SELECT doc_id, list_filter(list_transform(a, lambda x: trim(x, ' -*•' || chr(9))), lambda x: x <> '') AS a FROM p)
-SELECT doc_id, len(a) AS n, array_to_string(a, ' / ') AS items FROM i""")
+i AS (SELECT doc_id, line_no, list_filter(list_transform(a, lambda x: trim(x, ' -*•' || chr(9))), lambda x: x <> '') AS a FROM p)
+SELECT doc_id, line_no::BIGINT AS line_no, len(a) AS n, array_to_string(a, ' / ') AS items FROM i""")
 def list_items(spark, d):
-    t = table(spark, d, "documents").select("doc_id", T.list_items(F.split_part("text", F.lit("\n"), F.lit(1))).alias("a"))
-    return t.select("doc_id", F.size("a").cast("bigint").alias("n"), F.array_join("a", " / ").alias("items"))
+    """Every line of every document."""
+    t = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    t = t.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), T.list_items(F.col("line")).alias("a"))
+    return t.select("doc_id", "line_no", F.size("a").cast("bigint").alias("n"), F.array_join("a", " / ").alias("items"))
 
 
 @query("""
@@ -336,29 +319,14 @@ def path_parts(spark, d):
 
 
 @query("""
-WITH g AS (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem)
-SELECT DISTINCT l_orderkey, l_linenumber::BIGINT AS normalized, l_partkey AS title FROM g""")
-def alias_zip(spark, d):
-    li = table(spark, d, "lineitem")
-    g = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("a"))
-    pairs = F.array_distinct(F.arrays_zip(F.transform("a", lambda x: x["l_linenumber"].cast("bigint")).alias("normalized"), F.transform("a", lambda x: x["l_partkey"]).alias("title")))
-    return g.select("l_orderkey", F.inline(pairs)).toDF("l_orderkey", "normalized", "title")
-
-
-@query("""
-WITH g AS (SELECT source, lang || 'wiki' AS site, min(doc_id) AS doc FROM documents WHERE doc_id % 3 > 0 OR lang NOT IN ('en', 'de') GROUP BY 1, 2)
-SELECT source, coalesce(max(site) FILTER (WHERE site = 'enwiki'), max(site) FILTER (WHERE site = 'dewiki'), min(site)) AS site,
+WITH g AS (SELECT n_chars, lang || 'wiki' AS site, min(doc_id) AS doc FROM documents GROUP BY 1, 2)
+SELECT n_chars, coalesce(max(site) FILTER (WHERE site = 'enwiki'), max(site) FILTER (WHERE site = 'dewiki'), min(site)) AS site,
   coalesce(max(doc) FILTER (WHERE site = 'enwiki'), max(doc) FILTER (WHERE site = 'dewiki'), arg_min(doc, site)) AS doc FROM g GROUP BY 1""")
 def prefer_link(spark, d):
-    t = table(spark, d, "documents").where("doc_id % 3 > 0 or lang not in ('en', 'de')").groupBy("source", F.concat("lang", F.lit("wiki")).alias("site")).agg(F.min("doc_id").alias("doc"))
-    m = t.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("site", "doc"))).alias("links"))
-    return m.select("source", X.preferred_link(F.col("links")).alias("p")).select("source", "p.site", F.col("p.title").alias("doc"))
-
-
-@query("SELECT event_id, (props->>'$.k')::BIGINT AS k, (props->>'$.missing') AS missing FROM events")
-def json_fields(spark, d):
-    e = table(spark, d, "events").select("event_id", F.from_json("props", "k bigint, missing string").alias("p"))
-    return e.select("event_id", "p.k", "p.missing")
+    """For each length of a text the languages that have one."""
+    t = table(spark, d, "documents").groupBy("n_chars", F.concat("lang", F.lit("wiki")).alias("site")).agg(F.min("doc_id").alias("doc"))
+    m = t.groupBy("n_chars").agg(F.map_from_entries(F.collect_list(F.struct("site", "doc"))).alias("links"))
+    return m.select("n_chars", X.preferred_link(F.col("links")).alias("p")).select("n_chars", "p.site", F.col("p.title").alias("doc"))
 
 
 VOCAB_WORDS = f"""SELECT lower(strip_accents(replace(replace(x, 'ß', 'ss'), 'ẞ', 'SS'))) AS word FROM (

@@ -14,17 +14,34 @@ from ..operators import sampling as P
 from ..operators.dedupe import distinct_first
 
 
-def sample(master: DataFrame, issues: DataFrame, top: int = 100, extra: int = 100, seed: int = 1) -> DataFrame:
-    """The most frequent games, others by a seeded digest, and those of the last issue, each once and classified."""
+#: Issues that are always looked at (fixed values), and the first year that counts as late.
+NAMED_ISSUES = ["CBS122004DVD", "CBS012005DVD", "CBS122008DVD", "CBS122008DVDGold"]
+LATE = "2007"
+
+
+def sample(master: DataFrame, issues: DataFrame, top: int = 100, extra: int = 100, seed: int = 1, named: list[str] | None = None) -> DataFrame:
+    """Rows to look at, classified: the most frequent games, others by a seeded digest, and all rows of the named issues and
+    of one late issue, chosen by a seeded digest too."""
     m = master.withColumns({"n": lenient_int(F.col("issue_count")), "k": lenient_int(F.col("occurrence_count"))})
-    order = [F.desc("n"), F.desc("k"), F.asc(F.lower(F.replace("representative_title", F.lit("ß"), F.lit("ss")))), F.asc("game_id")]
-    first = P.top(m, order, top).withColumns({"sample_group": F.lit("top"), "__g": F.lit(0)})
-    rest = m.join(first.select("game_id"), "game_id", "left_anti")
-    more = P.top(rest.withColumn("__h", P.seeded(seed, F.col("game_id"))), [F.asc("__h"), F.asc("game_id")], extra).drop("__h").withColumns({"sample_group": F.lit("random"), "__g": F.lit(1)})
-    last = issues.agg(F.max(F.struct("year", "issue_code")).alias("x")).select(F.col("x.issue_code").alias("issue_code"))
-    late = m.join(issues.join(F.broadcast(last), "issue_code", "left_semi").select("game_id").distinct(), "game_id", "left_semi").withColumns({"sample_group": F.lit("late issue"), "__g": F.lit(2)})
-    all_ = distinct_first(first.unionByName(more).unionByName(late), ["game_id"], [F.asc("__g")])
-    return all_.withColumn("c", R.sample_class(F.col("representative_title"))).select("sample_group", "game_id", "representative_title", "issue_count", "occurrence_count", "c.classification", "c.reason")
+    low = F.lower(F.replace("representative_title", F.lit("ß"), F.lit("ss")))
+    first = P.top(m, [F.desc("n"), F.desc("k"), low.asc(), F.asc("normalized_title")], top)
+    rest = m.join(first.select("normalized_title"), "normalized_title", "left_anti")
+    more = P.top(rest.withColumn("__h", P.seeded(seed, F.col("normalized_title"))), [F.asc("__h"), F.asc("normalized_title")], extra).drop("__h")
+    columns = ["issue_code", "archive_name", "normalized_title", "representative_title", "issue_count", "source_kinds"]
+    of_master = lambda t, bucket: t.select(F.lit(bucket).alias("sample_bucket"), F.lit("master").alias("row_kind"), F.col("first_seen_issue").alias("issue_code"), F.lit("").alias("archive_name"), *columns[2:])
+    late = issues.where(F.col("year") >= LATE).agg(F.min_by("issue_code", F.struct(P.seeded(seed, F.col("issue_code")), "issue_code")).alias("late"))  # one row
+    names = NAMED_ISSUES if named is None else named
+    looked = issues.join(F.broadcast(late), F.col("issue_code").isin(names) | (F.col("issue_code") == F.col("late")))
+    bucket = F.concat(F.when(F.col("issue_code") == F.col("late"), f"late-year-seed-{seed}:").otherwise("noisy-issue:"), "issue_code")
+    of_issues = looked.select(bucket.alias("sample_bucket"), F.lit("issue").alias("row_kind"), "issue_code", "archive_name", "normalized_title", "representative_title", F.lit("").alias("issue_count"), "source_kinds")
+    of_issues = distinct_first(of_issues, ["archive_name", "normalized_title"], [F.asc("issue_code"), F.asc("representative_title"), F.asc("source_kinds")])
+    rows = of_master(first, f"top-{top}-by-issue-count").unionByName(of_master(more, f"random-{extra}-seed-{seed}")).unionByName(of_issues)
+    return rows.withColumn("c", R.sample_class(F.col("representative_title"))).select("sample_bucket", "row_kind", *columns, "c.classification", "c.reason")
+
+
+def histogram(sample: DataFrame) -> DataFrame:
+    """How many rows of a sample are of each class, by bucket and in all (bucket null)."""
+    return sample.groupingSets([["sample_bucket", "classification"], ["classification"]], "sample_bucket", "classification").agg(F.count("*").alias("n"))
 
 
 def text_findings(files: DataFrame) -> DataFrame:
@@ -82,3 +99,21 @@ def cause_report(unresolved: DataFrame) -> str:
 def attribution(spark) -> DataFrame:
     rows = [("published release", "derived-csv", "observed titles, clusters, audit columns"), ("reference baseline", "derived-csv", "canonical entity, release year, categories, genres, ratings")]
     return spark.createDataFrame(rows, "source_name string, source_type string, fields_used string")
+
+
+def audited(raw: dict[str, DataFrame], published: dict[str, DataFrame], again: dict[str, DataFrame] | None = None, enriched: dict[str, DataFrame] | None = None) -> tuple[str, DataFrame]:
+    """(report, sample) of a release: row counts, the sample and its classes, near variants, whether a second run (again)
+    gave the same tables, whether cleaned and dropped rows add up, and the verdict."""
+    issues, master = published["publishable_issue_titles"], published["publishable_master_games"]
+    looked = sample(master, issues)
+    classes = {(r.sample_bucket, r.classification): r.n for r in histogram(looked).collect()}  # a few classes by a few buckets
+    near = A.near_variants(master, "representative_title")
+    n = counts(raw) | counts(published) | (counts(enriched) if enriched else {})
+    stray = issues.join(master, "game_id", "left_anti")
+    moved = [name for name, t in (again or {}).items() if not same_rows(published[name], t)]
+    differ = master.sparkSession.createDataFrame([(x,) for x in moved], "name string")
+    lost = raw["issue_titles"].sparkSession.range(abs(n["issue_titles"] - n.get("final_issue_titles", 0) - n.get("dropped_candidates", 0)))
+    said, against, known = verdict({"issue rows without a game": stray, "tables that differ between two runs": differ, "raw rows neither cleaned nor dropped": lost}, {"near variants": near, "titles to look at": looked.where("classification <> 'keep'"), "unresolved issues": raw["unresolved_issues"]})
+    numbers = {f"`{k}` rows": v for k, v in n.items()} | {f"sample `{k[1]}`": v for k, v in sorted(classes.items(), key=str) if k[0] is None}
+    notes = [f"Verdict: {said}.", *[f"* blocker: {x}" for x in against], *[f"* caveat: {x}" for x in known]]
+    return markdown("Release Audit", numbers, notes), looked

@@ -1,6 +1,7 @@
 """Reference lookup of titles over fetched pages. Fetching is an ingest job outside the engine; its contract here is three
 tables: hits (normalized_title, source 'wikidata' or 'wikipedia', language, variant_no, place, id, label, description),
-entities (id, labels map, aliases map of lists, sitelinks map) and failures (normalized_title, error)."""
+entities (id, labels map, aliases map of lists, sitelinks map) and failures (normalized_title, error, and if it is known
+attempt, by which the errors of a title are joined in order)."""
 
 from __future__ import annotations
 
@@ -8,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.text import public_reason, reference_title, safe, search_variants, wiki_url
-from ..operators.dedupe import best_by
+from ..functions.text import joined, public_reason, reference_title, safe, search_variants, wiki_url
+from ..operators.dedupe import best_by, ordered_list
 from ..operators.extract import preferred_link
 from ..operators.matching import candidate_scores
 
@@ -62,7 +63,8 @@ def resolve(titles: DataFrame, hits: DataFrame, entities: DataFrame, failures: D
     g = g.withColumn("status", status).where("status is not null")
     g = best_by(g, ["normalized_title"], [F.asc("method")])
     rest = top.where("method = 'wikidata-search'").groupBy("normalized_title").agg(F.array_sort(F.collect_list(F.struct("place", "label", "url", "source", "lang", "score", "wikidata_id"))).alias("rest"))
-    f = failures.groupBy("normalized_title").agg(F.min(public_reason(F.col("error"))).alias("error"))
+    place = F.col("attempt") if "attempt" in failures.columns else F.col("error")
+    f = failures.groupBy("normalized_title").agg(joined(ordered_list(public_reason(F.col("error")), place, F.col("error"))).alias("error"))
     out = titles.join(g, "normalized_title", "left").join(rest, "normalized_title", "left").join(f, "normalized_title", "left")
     failed = F.col("error").isNotNull()
     state = F.when(failed, "unmatched").otherwise(F.coalesce("status", F.lit("unmatched")))

@@ -25,3 +25,27 @@ AMBIGUOUS = "game_id normalized_title representative_title match_status match_co
 UNMATCHED = "game_id normalized_title representative_title match_status match_confidence failure_reason search_variants".split()
 DEMOTIONS = "game_id representative_title demotion_reason source_alias_titles candidate_match_statuses".split()
 REFERENCE = "reference_url reference_source reference_lang reference_title reference_confidence reference_status".split()
+
+SAMPLE = "sample_bucket row_kind issue_code archive_name normalized_title representative_title issue_count source_kinds classification reason".split()
+ENRICHED_MASTER = [c for c in PUBLISHED_MASTER if c not in {*PUSHED, *UNFILLED}] + [c for c in dict.fromkeys([*PUSHED, *ENRICHED, *UNFILLED])]
+ENRICHED_ISSUES = [c for c in PUBLISHED_ISSUES if c not in PUSHED] + [c for c in dict.fromkeys([*PUSHED, *ENRICHED])]
+#: Of every exported table the columns and the order of its rows.
+EXPORTS = {
+    "issue_titles": (ISSUE_TITLES, ["archive_name", "normalized_title"]),
+    "master_games": (MASTER_GAMES, ["normalized_title"]),
+    "unresolved_issues": (UNRESOLVED, ["archive_name"]),
+    "final_issue_titles": (FINAL_ISSUES, ["archive_name", "normalized_title"]),
+    "final_master_games": (MASTER_GAMES, ["normalized_title"]),
+    "final_unresolved_issues": (FINAL_UNRESOLVED, ["archive_name"]),
+    "dropped_candidates": (DROPPED, ["archive_name", "normalized_title"]),
+    "publishable_issue_titles": (PUBLISHED_ISSUES, ["archive_name", "issue_code", "game_id"]),
+    "publishable_master_games": (PUBLISHED_MASTER, ["game_id"]),
+    "excluded_non_game_titles": (EXCLUDED, ["game_id"]),
+    "enriched_master_games": (ENRICHED_MASTER, ["game_id"]),
+    "enriched_issue_titles": (ENRICHED_ISSUES, ["archive_name", "issue_code", "game_id"]),
+    "title_aliases": (ALIASES, ["game_id", "normalized_title", "representative_title"]),
+    "ambiguous_matches": (AMBIGUOUS, ["game_id"]),
+    "unmatched_titles": (UNMATCHED, ["game_id"]),
+    "match_demotions": (DEMOTIONS, ["game_id"]),
+    "sample": (SAMPLE, ["sample_bucket", "row_kind", "issue_code", "representative_title"]),
+}

@@ -36,8 +36,37 @@ def read_optional(spark: SparkSession, path: str, columns: list[str]) -> DataFra
     return read(spark, path, columns)
 
 
-def write(df: DataFrame, path: str, columns: list[str]) -> None:
-    """Exactly the declared columns, missing ones empty, in one file of a new folder."""
+def write(df: DataFrame, path: str, columns: list[str], order: list[str] | None = None) -> None:
+    """Exactly the declared columns, missing ones empty, in files of a new folder, each with a header. With an order (and
+    all columns after it, so that equal keys are in order too) the files' names are in it, and so are the rows in each."""
     have = set(df.columns)
     out = df.select([(F.coalesce(F.col(c).cast("string"), F.lit("")) if c in have else F.lit("")).alias(c) for c in columns])
-    out.coalesce(1).write.mode("overwrite").options(**WRITE).csv(path)
+    if order is not None:
+        out = out.orderBy(*order, *[c for c in columns if c not in order])
+    out.write.mode("overwrite").options(**WRITE).csv(path)
+
+
+def join_files(spark: SparkSession, path: str, target: str) -> int:
+    """One file of the files in a folder, in the order of their names, with one header; returns its size. A stream of bytes
+    through the driver, no rows: for reports and small releases."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    p, t = hadoop.Path(path), hadoop.Path(target)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(str(s.getPath()) for s in fs.listStatus(p) if s.getPath().getName().startswith("part-"))
+    out = t.getFileSystem(spark._jsc.hadoopConfiguration()).create(t, True)
+    size = 0
+    for k, name in enumerate(parts):
+        file, head = fs.open(hadoop.Path(name)), k > 0
+        while len(block := bytes(file.readNBytes(1 << 20))):
+            if head:
+                block, head = block.split(b"\n", 1)[1] if b"\n" in block else b"", False
+            out.write(bytearray(block))
+            size += len(block)
+        file.close()
+    out.close()
+    return size
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

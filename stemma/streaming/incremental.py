@@ -1,49 +1,65 @@
-"""Incremental work: batches of a day overlaid on the state, and the same as a file stream with a checkpoint."""
+"""Incremental work over a keyed state: batches of a table one after another, and file streams with a checkpoint."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import best_by
-from ..operators.joins import overlay
+from ..sources.state import State, changed
+
+
+def batches(state: State, rows: DataFrame, column: str, order: list) -> int:
+    """Lays the rows over the state, a batch for each value of a column in its order: within a batch the last row of a key
+    in this order counts, a later batch replaces what earlier ones left. Returns the number of batches. The driver sees
+    the column's values only."""
+    values = sorted(r[0] for r in rows.select(column).distinct().collect())
+    for v in values:
+        state.upsert(rows.where(F.col(column) == F.lit(v)), order)
+        state.clean()
+    return len(values)
+
+
+def files(spark: SparkSession, source: str, schema, at_once: int = 1) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", at_once).parquet(source)
 
 
-def daily_upsert(events: DataFrame, keys: list[str], ts: str, tie: str) -> DataFrame:
-    """The latest row per key: what overlaying the days one after another leaves, in one pass. A later day's row replaces
-    an earlier day's, within a day the latest does."""
-    return best_by(events, keys, [F.desc(ts), F.desc(tie)])
+def drained(stream: DataFrame, each: Callable[[DataFrame, int], object], checkpoint: str) -> None:
+    """Gives every batch that the checkpoint hasn't seen to each, then ends."""
+    stream.writeStream.foreachBatch(lambda batch, number: each(batch, number) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def upsert(state: DataFrame, batch: DataFrame, keys: list[str], ts: str, tie: str) -> DataFrame:
-    """The state after one more batch."""
-    return overlay(state, daily_upsert(batch, keys, ts, tie), keys)
+def run_stream(spark: SparkSession, source: str, schema, state: State, checkpoint: str, order: list) -> State:
+    """Upserts the files below source that the checkpoint hasn't seen. A batch that is repeated after a failure leaves the
+    same rows; after a run without new files the state is what it was."""
+    drained(files(spark, source, schema), lambda batch, _: state.upsert(batch, order), checkpoint)
+    return state
 
 
-def run_stream(spark: SparkSession, source: str, schema, state: str, checkpoint: str, keys: list[str], ts: str, tie: str) -> str:
-    """Consumes the files below source that the checkpoint hasn't seen, each batch overlaid on the state; every batch writes
-    a new version of the state, so a batch that is repeated after a failure gives the same one. Returns the last version's
-    path. The reference point has no stream; this is an extension."""
-    seen = {"last": ""}
+def insert_stream(spark: SparkSession, source: str, schema, state: State, checkpoint: str, order: list) -> State:
+    """The same for keys that are to keep the first row ever seen: the state remembers them for good, not as long as a
+    watermark allows."""
+    drained(files(spark, source, schema), lambda batch, _: state.insert(batch, order), checkpoint)
+    return state
 
-    def each(batch: DataFrame, number: int) -> None:
-        path = f"{state}/v={number}"
-        new = daily_upsert(batch, keys, ts, tie)
-        out = overlay(spark.read.parquet(f"{state}/v={number - 1}"), new, keys) if number else new
-        out.write.mode("overwrite").parquet(path)
-        seen["last"] = path
 
-    q = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return seen["last"]
+def progress_stream(spark: SparkSession, summary: Callable[[], DataFrame], send: Callable[[str], None], every: str = "300 seconds"):
+    """A running query that looks at a one-row summary at intervals and sends it as JSON when it differs from the last one."""
+    last: dict[str, str | None] = {"digest": None}
+
+    def look(_batch: DataFrame, _number: int) -> None:
+        now = summary()
+        digest, new = changed(now, last["digest"])
+        if new:
+            send(now.select(F.to_json(F.struct("*"))).first()[0])
+            last["digest"] = digest
+
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return ticks.writeStream.foreachBatch(look).trigger(processingTime=every).start()
 
 
 def windowed_counts(events: DataFrame, late: str = "10 minutes", width: str = "5 minutes") -> DataFrame:
     """Events per type and window, for a stream or a table; rows later than the watermark are dropped from a stream."""
     e = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
     return e.groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"))
-
-
-def new_keys(events: DataFrame, keys: list[str], ts: str, late: str) -> DataFrame:
-    """Insert-if-absent on a stream: the first row of each key, remembered as long as the watermark allows."""
-    return events.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)

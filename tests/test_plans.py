@@ -142,9 +142,27 @@ def test_extraction_stages(spark):
     quick = spark.createDataFrame([c("A", "disc-exe-name", "q"), c("B", "disc-exe-name", "q")], cand)
     full = spark.createDataFrame([c("B", "disc-metadata-value", "f", "medium")], cand)
     records = spark.createDataFrame([("i", "A", "CBS0101", 2001, "CD"), ("i", "B", "CBS0102", 2002, "CD"), ("i", "C", "CBS0103", 2003, "CD")], "archive_item string, archive_name string, issue_code string, year int, variant string")
-    found, path = extraction.staged(records, cheap, quick, full)
-    assert {r.archive_name: r.path for r in path.collect()} == {"A": "external", "B": "disc-full", "C": "unresolved"}
+    found, way = extraction.resolved(records, cheap, quick, full)
+    got = {r.archive_name: (r.resolution_path, r.unresolved) for r in way.collect()}
+    assert got == {"A": ("ocr", False), "B": ("redump>disc-quick>disc-full", False), "C": ("disc-quick>disc-full", True)}
     assert {r.normalized_title for r in found.where("archive_name = 'A'").collect()} == {"x", "y", "z"}
+    way = extraction.resolved(records, cheap, quick, full, "external-only")[1]
+    assert {r.archive_name: (r.resolution_path, r.reason, r.unresolved) for r in way.collect()} == {"A": ("ocr", "structured external list", False), "B": ("redump", "cheap sources incomplete", True), "C": ("external", "cheap sources incomplete", True)}
+    found2, way = extraction.resolved(records, cheap, quick, full, "disc-only", status=spark.createDataFrame([("B", "extract_failed", "bad archive")], "archive_name string, status string, error string"))
+    assert {r.archive_name: (r.resolution_path, r.status) for r in way.collect()} == {x: ("disc-quick>disc-full", "extract_failed" if x == "B" else "ok") for x in "ABC"}
+    assert {r.normalized_title for r in found2.collect()} == {"q", "f"}
+    way = extraction.resolved(records, cheap, quick, full, validate=True)[1]
+    assert {r.resolution_path for r in way.where("archive_name = 'A'").collect()} == {"ocr>disc-quick>disc-full"}
+    way = extraction.resolved(records, cheap, quick, full, force=True)[1]
+    assert {r.resolution_path for r in way.where("archive_name = 'A'").collect()} == {"ocr>disc-quick"}
+    with pytest.raises(ValueError):
+        extraction.resolved(records, cheap, quick, full, "other")
+
+    def broken(_):
+        raise RuntimeError("no page\nat all")
+
+    got, runs = extraction.run_strategies(records, {"ocr": lambda r: cheap.where("strategy = 'ocr'").drop("strategy"), "broken": broken, "redump": lambda r: cheap.where("strategy = 'redump'").drop("strategy")})
+    assert got.count() == 4 and {(r.strategy, r.archive_name, r.titles, r.error) for r in runs.where("archive_name = 'A' or strategy = 'broken'").collect()} == {("ocr", "A", 3, None), ("redump", "A", 0, None), *(("broken", x, 0, "RuntimeError: no page") for x in "ABC")}
     t = extraction.issue_titles(found, records)
     assert t.columns == S.ISSUE_TITLES and t.where("archive_name = 'B'").count() == 3
     state = spark.createDataFrame([("A", "ok"), ("B", "extract_failed")], "archive_name string, status string")
@@ -159,6 +177,31 @@ def test_csv_edge(spark, tmp_path):
     with pytest.raises(csvio.HeaderMismatch):
         csvio.read(spark, str(tmp_path / "out"), ["y", "x", "z", "w"])
     assert csvio.read_optional(spark, str(tmp_path / "missing.csv"), ["x"]).count() == 0
+    many = spark.range(500).selectExpr("cast(500 - id as string) x", "'two\nlines' y").repartition(5)
+    csvio.write(many, str(tmp_path / "many"), ["x", "y"], ["x"])
+    csvio.join_files(spark, str(tmp_path / "many"), str(tmp_path / "one.csv"))
+    got = [(r.x, r.y) for r in csvio.read(spark, str(tmp_path / "one.csv"), ["x", "y"]).collect()]
+    assert [x for x, _ in got] == sorted(str(500 - i) for i in range(500)) and {y for _, y in got} == {"two\nlines"}
+
+
+def test_command_line(spark, tmp_path):
+    from stemma.__main__ import main
+
+    raw = {"issue_titles": frame(spark, S.ISSUE_TITLES, [issue("Prince of Persia"), issue("Needfor Speed Carbonv 14"), issue("Setup", norm="setup")]), "master_games": frame(spark, S.MASTER_GAMES, []), "unresolved_issues": frame(spark, S.UNRESOLVED, [{"archive_name": "B.7z", "reason": "HTTP 503\nbusy"}])}
+    from stemma.plans.export import export
+
+    at = lambda x: str(tmp_path / x)
+    assert export(raw, at("results/raw-20260301"), True) == list(raw)
+    main(["publish", "--results", at("results"), "--output-dir", at("published"), "--single-files"])
+    assert "`network/download`: 1" in (tmp_path / "published/unresolved_summary.md").read_text()
+    main(["enrich", "--input-master", at("published/publishable_master_games.csv"), "--input-issues", at("published/publishable_issue_titles.csv"), "--output-dir", at("enriched"), "--single-files"])
+    assert (tmp_path / "enriched/enriched_master_games.csv").read_text().count("\n") == 3 and "unmatched: 2" in (tmp_path / "enriched/enrichment_audit.md").read_text()
+    retry = raw | {"issue_titles": frame(spark, S.ISSUE_TITLES, [issue("New Game", "B")]), "unresolved_issues": frame(spark, S.UNRESOLVED, [])}
+    export(retry, at("retry"), True)
+    main(["merge", "--base-dir", at("results/raw-20260301"), "--retry-dir", at("retry"), "--base-published-unresolved", at("published/final_unresolved_issues.csv"), "--output-dir", at("merged")])
+    assert "titles added: 4" in (tmp_path / "merged/comparison.md").read_text()
+    main(["audit", "--raw-dir", at("results/raw-20260301"), "--published-dir", at("published"), "--output-dir", at("audit"), "--rerun"])
+    assert "Verdict: ready" in (report := (tmp_path / "audit/release_audit.md").read_text()) and "blocker" not in report
 
 
 def test_snapshots(spark, tmp_path):
@@ -180,18 +223,54 @@ def test_stream_state(spark, tmp_path):
     all_ = spark.createDataFrame(rows, "user int, ts string, id int, v string").withColumn("ts", F.to_timestamp("ts"))
     for day in (1, 2, 3):
         all_.where(F.dayofmonth("ts") == day).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    path = incremental.run_stream(spark, str(tmp_path / "in"), schema, str(tmp_path / "state"), str(tmp_path / "check"), ["user"], "ts", "id")
-    want = incremental.daily_upsert(all_, ["user"], "ts", "id")
-    assert sorted((r.user, r.v) for r in spark.read.parquet(path).collect()) == sorted((r.user, r.v) for r in want.collect()) == [(1, "c"), (2, "b"), (3, "d")]
+    from stemma.sources.state import State
+
+    state = State(spark, str(tmp_path / "state"), schema, "user", buckets=3)
+    run = lambda: incremental.run_stream(spark, str(tmp_path / "in"), schema, state, str(tmp_path / "check"), [F.col("ts"), F.col("id")])
+    want = [(1, "c"), (2, "b"), (3, "d")]
+    assert sorted((r.user, r.v) for r in run().read().collect()) == want
+    before = state.version()
+    assert sorted((r.user, r.v) for r in run().read().collect()) == want and state.version() == before  # nothing new
+    again = State(spark, str(tmp_path / "days"), schema, "user")
+    assert incremental.batches(again, all_.withColumn("day", F.to_date("ts")), "day", [F.col("ts"), F.col("id")]) == 3
+    assert sorted((r.user, r.v) for r in again.read().collect()) == want
+    first = State(spark, str(tmp_path / "first"), schema, "user")
+    incremental.insert_stream(spark, str(tmp_path / "in"), schema, first, str(tmp_path / "check1"), [F.col("ts")])
+    assert sorted((r.user, r.v) for r in first.read().collect()) == [(1, "a"), (2, "b"), (3, "d")]
+    all_.where("id = 3").withColumn("id", F.lit(9)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    incremental.insert_stream(spark, str(tmp_path / "in"), schema, first, str(tmp_path / "check1"), [F.col("ts")])
+    assert sorted((r.user, r.id) for r in first.read().collect()) == [(1, 1), (2, 2), (3, 4)]  # kept for good
+
+
+def test_progress_stream(spark):
+    import time
+
+    from stemma.streaming import incremental
+
+    sent, n = [], [1]
+    q = incremental.progress_stream(spark, lambda: spark.createDataFrame([(n[0],)], "n int"), sent.append, "1 seconds")
+    try:
+        until = time.time() + 60
+        while len(sent) < 2 and time.time() < until:
+            if sent:
+                n[0] = 2
+            time.sleep(0.2)
+    finally:
+        q.stop()
+    assert sent == ['{"n":1}', '{"n":2}']
 
 
 def test_release_audit(spark):
     from stemma.plans import release
 
-    master = spark.createDataFrame([(f"g{i}", f"Game {i}" if i else "Some software", str(i % 5), "1") for i in range(30)], "game_id string, representative_title string, issue_count string, occurrence_count string")
-    issues = spark.createDataFrame([("2004", "A", "g1"), ("2005", "B", "g29")], "year string, issue_code string, game_id string")
-    s = release.sample(master, issues, top=5, extra=5).collect()
-    assert {r.sample_group for r in s} >= {"top", "random"} and len({r.game_id for r in s}) == len(s) and "g29" in {r.game_id for r in s}
+    master = spark.createDataFrame([(f"g{i}", f"game {i}", f"Game {i}" if i else "Some software", str(i % 5), "1", "A", "k") for i in range(30)], "game_id string, normalized_title string, representative_title string, issue_count string, occurrence_count string, first_seen_issue string, source_kinds string")
+    issues = spark.createDataFrame([("2004", "CBS122004DVD", "a", "game 1", "Game 1", "k"), ("2004", "X", "b", "game 2", "Game 2", "k"), ("2008", "Y", "c", "game 3", "Some software", "k")], "year string, issue_code string, archive_name string, normalized_title string, representative_title string, source_kinds string")
+    s = release.sample(master, issues, top=5, extra=5)
+    assert s.columns == S.SAMPLE
+    buckets = {(r.sample_bucket, r.row_kind): r["count"] for r in s.groupBy("sample_bucket", "row_kind").count().collect()}
+    assert buckets == {("top-5-by-issue-count", "master"): 5, ("random-5-seed-1", "master"): 5, ("noisy-issue:CBS122004DVD", "issue"): 1, ("late-year-seed-1:Y", "issue"): 1}
+    h = {(r.sample_bucket, r.classification): r.n for r in release.histogram(s).collect()}
+    assert h["late-year-seed-1:Y", "drop"] == 1 and sum(n for (b, _), n in h.items() if b is None) == 12
     files = spark.createDataFrame([("a.md", "x /home/me PhysX Ã"), ("b.md", "fine")], "path string, text string")
     assert {tuple(r) for r in release.text_findings(files).collect()} == {("a.md", "literal", "/home/"), ("a.md", "noise", "physx"), ("a.md", "mojibake", "1")}
     readme = spark.createDataFrame([("master titles: `12`\n## Full Table\n| Title | Issue | N |\n| --- | --- | --- |\n| Anno | A | 2 |\n| x |",)], "text string")
@@ -207,7 +286,7 @@ def test_release_audit(spark):
 def test_state(spark, tmp_path):
     from stemma.sources import state
 
-    s = state.State(spark, str(tmp_path / "s"), "k string, v string", "k")
+    s = state.State(spark, str(tmp_path / "s"), "k string, v string", "k", buckets=2)
     assert s.read().count() == 0
     rows = lambda *x: spark.createDataFrame(list(x), "k string, v string")
     s.upsert(rows(("a", "1"), ("b", "1"), ("a", "2")), [F.col("v")])
@@ -216,6 +295,11 @@ def test_state(spark, tmp_path):
     s.append(rows(("a", "9")))
     s.replace_all(rows(("a", "x"), ("a", "y")), "k")
     assert sorted(map(tuple, s.read().collect())) == [("a", "x"), ("a", "y"), ("b", "3"), ("c", "4")] and s.version() == 3
+    s.clean(1)
+    assert sorted(map(tuple, s.read().collect())) == [("a", "x"), ("a", "y"), ("b", "3"), ("c", "4")]
+    assert not any(f.startswith("bucket=") for f in snapshots.folders(spark, str(tmp_path / "s" / "v=0")) if (0, int(f[7:])) not in {(v, b) for b, x in s.manifest(3).items() for v in x})
+    s.replace_all(rows(("z", "y")), "v")  # units of another column lie in any bucket
+    assert sorted(map(tuple, s.read().collect())) == [("a", "x"), ("b", "3"), ("c", "4"), ("z", "y")]
     d, new = state.changed(rows(("a", "1")), None)
     assert new and state.changed(rows(("a", "1")), d) == (d, False)
 

@@ -9,9 +9,12 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLOCK, PART = 256, "\x01\x02"
-#: Characters that texts of Latin letters are made of; a text of others is folded character by character.
+#: Characters that texts of Latin letters are made of; a text of others takes the longer way.
 LATIN = [(0, 0x250), (0x300, 0x370), (0x1E00, 0x1F00), (0x2010, 0x2016), (0x2018, 0x2020)]
+#: The Korean syllables, whose parts follow from their number (fixed values of the standard).
+KOREAN, LEAD, VOWEL, TAIL = 0xAC00, 0x1100, 0x1161, 0x11A7
+VOWELS, TAILS, SYLLABLES = 21, 28, 11172
+PART = "\x01"
 
 
 def folded(text: str) -> str:
@@ -19,60 +22,66 @@ def folded(text: str) -> str:
     return "".join(c for c in text if not unicodedata.combining(c))
 
 
-@lru_cache(1)
-def latin() -> tuple[str, str, str]:
-    """Of the Latin blocks: the characters that fold to one other, what they fold to, and a class of all characters that
-    this and the dropping of marks don't fold rightly."""
-    pairs, simple = [], []
-    for a, b in LATIN:
-        for i in range(a, b):
-            c, f = chr(i), folded(chr(i))
-            if len(f) == 1 and f != c:
-                pairs.append((c, f))
-            if len(f) == 1 or c in "ßẞ" or 0x300 <= i < 0x370 and not f:
-                simple.append(i)
+def char_class(codes: list[int], negated: bool = False) -> str:
+    """A pattern for one of these characters, given in order, as few ranges."""
     runs: list[list[int]] = []
-    for i in simple:
+    for i in codes:
         if runs and i == runs[-1][1] + 1:
             runs[-1][1] = i
         else:
             runs.append([i, i])
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs), "[^" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in runs) + "]"
+    return f"[{'^' * negated}" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" if a < b else f"\\x{{{a:X}}}" for a, b in runs) + "]"
 
 
 @lru_cache(1)
-def blocks() -> tuple[str, str]:
-    """The rule as two texts: for each block of 256 code points the place of its table or -1, by comma; and the tables, an
-    entry for each character, by PART. Only blocks in which something folds have a table."""
-    places, entries = [], []
-    for first in range(0, sys.maxunicode + 1, BLOCK):
-        some = [chr(i) for i in range(first, first + BLOCK)]
-        new = [c if 0xD800 <= ord(c) < 0xE000 else folded(c) for c in some]
-        if new == some:
-            places.append(-1)
-        else:
-            places.append(len(entries))
-            entries += new
-    return ",".join(map(str, places)), PART.join(entries)
+def rule() -> dict[str, str]:
+    """Every character that doesn't fold to itself, surrogates and Korean syllables left out."""
+    codes = (i for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000 and not KOREAN <= i < KOREAN + SYLLABLES)
+    return {c: f for c in map(chr, codes) if (f := folded(c)) != c}
+
+
+@lru_cache(1)
+def latin() -> tuple[str, str, str]:
+    """Of the Latin blocks: the characters that fold to one other, what they fold to, and a class of all characters that
+    these and the dropping of marks don't fold rightly."""
+    some = [chr(i) for a, b in LATIN for i in range(a, b)]
+    one = [c for c in some if len(rule().get(c, "")) == 1]
+    simple = [ord(c) for c in some if c not in rule() or c in one or c in "ßẞ" or 0x300 <= ord(c) < 0x370]
+    return "".join(one), "".join(rule()[c] for c in one), char_class(simple, negated=True)
+
+
+@lru_cache(1)
+def others() -> tuple[str, str, str, str, str]:
+    """Of all characters: those that fold to one other and what they fold to; a class of those that fold to several and a
+    text with the several behind each; a class of those that are dropped."""
+    one = [c for c, f in rule().items() if len(f) == 1]
+    more = [c for c, f in rule().items() if len(f) > 1]
+    none = [ord(c) for c, f in rule().items() if not f]
+    return "".join(one), "".join(rule()[c] for c in one), char_class(list(map(ord, more))), PART + PART.join(c + rule()[c] for c in more) + PART, char_class(none)
+
+
+def any_script(c: Column) -> Column:
+    """The fold of a text of any script. Only characters that become several are looked up one by one."""
+    from_, to, several, table, dropped = others()
 
+    def look_up(ch: Column) -> Column:
+        return F.substring_index(F.substring(F.lit(table), F.instr(F.lit(table), F.concat(F.lit(PART), ch)) + 2, F.lit(40)), PART, 1)
 
-def one_by_one(c: Column) -> Column:
-    """Every character through the tables, which the optimizer makes constants of."""
-    places, entries = blocks()
-    place_of = F.split(F.lit(places), ",").cast("array<int>")
-    table = F.split(F.lit(entries), PART)
+    def korean(ch: Column) -> Column:
+        n = F.ascii(ch) - KOREAN
+        hexed = lambda x: F.lpad(F.hex(x), 4, "0")
+        lead, vowel, tail = F.floor(n / (VOWELS * TAILS)), F.floor(n % (VOWELS * TAILS) / TAILS), n % TAILS
+        return F.decode(F.unhex(F.concat(hexed(lead + LEAD), hexed(vowel + VOWEL), F.when(tail > 0, hexed(tail + TAIL)).otherwise(""))), "UTF-16BE")
 
-    def fold(ch: Column) -> Column:
-        code = F.ascii(ch)
-        place = F.get(place_of, F.shiftright(code, 8))
-        return F.when(place >= 0, F.get(table, place + F.pmod(code, F.lit(BLOCK)))).otherwise(ch)
+    def one(ch: Column) -> Column:
+        return F.when(ch.rlike(several), look_up(ch)).when(ch.between(chr(KOREAN), chr(KOREAN + SYLLABLES - 1)), korean(ch)).otherwise(ch)
 
-    return F.array_join(F.transform(F.split(c, ""), fold), "")
+    return F.regexp_replace(F.array_join(F.transform(F.split(F.translate(c, from_, to), ""), one), ""), dropped, "")
 
 
 def ascii_fold(c: Column) -> Column:
     """The folded text; null is the empty text."""
     c = F.coalesce(c, F.lit(""))
-    from_, to, others = latin()
+    from_, to, rest = latin()
     plain = F.translate(F.replace(F.replace(c, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("SS")), from_, to)
-    return F.when(c.rlike(others), one_by_one(c)).otherwise(F.regexp_replace(plain, "[\\u0300-\\u036F]+", ""))
+    return F.when(c.rlike(rest), any_script(c)).otherwise(F.regexp_replace(plain, "[\\u0300-\\u036F]+", ""))

@@ -84,4 +84,5 @@ def ascii_fold(c: Column) -> Column:
     c = F.coalesce(c, F.lit(""))
     from_, to, rest = latin()
     plain = F.translate(F.replace(F.replace(c, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("SS")), from_, to)
-    return F.when(c.rlike(rest), any_script(c)).otherwise(F.regexp_replace(plain, "[\\u0300-\\u036F]+", ""))
+    ascii_ = F.octet_length(c) == F.length(c)
+    return F.when(ascii_, c).when(c.rlike(rest), any_script(c)).otherwise(F.regexp_replace(plain, "[\\u0300-\\u036F]+", ""))

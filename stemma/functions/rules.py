@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as V
-from .text import alternation, contains_any, lenient_int, public_title, safe
+from .text import alternation, contains_any, lenient_int, let, public_title, safe
 
 
 def first_match(rules: list[tuple[str, Column]], otherwise: str) -> Column:
@@ -42,26 +42,35 @@ def word_list(c: Column) -> Column:
     return F.filter(F.split(c, r"\s+"), lambda w: w != "")
 
 
-def alpha_words(c: Column) -> Column:
-    """Words of letters only."""
-    return F.filter(word_list(c), lambda w: w.rlike(r"^\p{L}+$"))
+KEEP = ["vollversion-fullversion", "multiword", "singleword-titlecase"]
 
 
-def longest(words: Column) -> Column:
-    return F.coalesce(F.array_max(F.transform(words, F.length)), F.lit(0))
+def title_features(title: Column, normalized: Column, kinds: Column) -> Column:
+    """Struct of what the rules ask of a candidate, so that a row's words are looked at once: title, norm, low, kinds, digit,
+    and of its words how many are of letters (alpha), of these of four or more (long) and of two or less (short), and
+    whether one names a medium (media) or an edition (edition)."""
+    title, norm = F.trim(title), F.lower(F.trim(normalized))
 
+    def of_words(w: Column) -> Column:
+        alpha = F.filter(w, lambda x: x.rlike(r"^\p{L}+$"))
+        return F.struct(
+            F.transform(alpha, F.length).alias("lengths"),
+            F.exists(w, lambda x: x.isin("dvd", "cd", "gold", "spiele")).alias("media"),
+            F.exists(w, lambda x: x.isin("normal", "bonus", "sonder", "gold")).alias("edition"),
+        )
 
-KEEP = ["vollversion-fullversion", "multiword", "singleword-titlecase"]
+    def counted(w: Column) -> Column:
+        n = lambda when: F.size(F.filter(w["lengths"], when))
+        return F.struct(F.size(w["lengths"]).alias("alpha"), n(lambda x: x >= 4).alias("long"), n(lambda x: x <= 2).alias("short"), w["media"].alias("media"), w["edition"].alias("edition"))
 
+    words = let(let(word_list(norm), of_words), counted)
+    return F.struct(title.alias("title"), norm.alias("norm"), F.lower(title).alias("low"), F.split(safe(kinds), ",").alias("kinds"), words.alias("words"))
 
-def title_reason(title: Column, normalized: Column, kinds: Column) -> Column:
-    """Why a candidate is kept (one of KEEP) or dropped: the first of 21 rules that holds."""
-    title, norm, kinds = F.trim(title), F.lower(F.trim(normalized)), F.split(safe(kinds), ",")
-    low, alpha, any_word = F.lower(title), alpha_words(norm), word_list(norm)
-    long_, short = F.size(F.filter(alpha, lambda w: F.length(w) >= 4)), F.size(F.filter(alpha, lambda w: F.length(w) <= 2))
-    has_word = lambda words: F.exists(any_word, lambda w: w.isin(words))
+
+def reason_of(f: Column) -> Column:
+    """Why a candidate with these features is kept (one of KEEP) or dropped: the first of 18 rules that holds."""
+    title, norm, low, kinds, w = f["title"], f["norm"], f["low"], f["kinds"], f["words"]
     digit = norm.rlike("[0-9]")
-    one = (F.size(alpha) > 0) & (long_ == 0)
     return first_match(
         [
             ("vollversion-fullversion", F.array_contains(kinds, "vollversion-fullversion")),
@@ -74,11 +83,11 @@ def title_reason(title: Column, normalized: Column, kinds: Column) -> Column:
             ("path-or-option", title.rlike(r"[\\|]")),
             ("short-code", norm.rlike(r"^[a-z]{1,4}\d{1,4}[a-z0-9]*$")),
             ("cbs-code", norm.startswith("cbs") & digit),
-            ("media-or-magazine-label", has_word(["dvd", "cd", "gold", "spiele"])),
-            ("numeric-leading-weak", norm.rlike("^[0-9]") & (F.size(alpha) > 0) & (longest(alpha) < 4)),
-            ("edition-or-mode-label", has_word(["normal", "bonus", "sonder", "gold"]) & digit),
-            ("all-short-words", one),
-            ("mostly-short-words", (F.size(alpha) >= 3) & (long_ == 1) & (short >= 2)),
+            ("media-or-magazine-label", w["media"]),
+            ("numeric-leading-weak", norm.rlike("^[0-9]") & (w["alpha"] > 0) & (w["long"] == 0)),
+            ("edition-or-mode-label", w["edition"] & digit),
+            ("all-short-words", (w["alpha"] > 0) & (w["long"] == 0)),
+            ("mostly-short-words", (w["alpha"] >= 3) & (w["long"] == 1) & (w["short"] >= 2)),
             ("manifest-noise", (F.array_join(kinds, ",") == "disc-manifest-path") & contains_any(low, V.MANIFEST_PARTS)),
             ("multiword", title.contains(" ")),
             ("singleword-titlecase", title.rlike(r"^\p{Lu}") & (title != F.upper(title)) & (F.length(title) >= 5)),
@@ -87,18 +96,25 @@ def title_reason(title: Column, normalized: Column, kinds: Column) -> Column:
     )
 
 
+def title_reason(title: Column, normalized: Column, kinds: Column) -> Column:
+    return let(title_features(title, normalized, kinds), reason_of)
+
+
 def publishable(title: Column, normalized: Column, kinds: Column) -> Column:
     """Whether a cleaned candidate may be published."""
-    norm, kinds = F.lower(F.trim(normalized)), F.split(safe(kinds), ",")
-    alpha = alpha_words(norm)
-    strict = (
-        F.array_contains(kinds, "disc-metadata-value")
-        & ~norm.isin(V.STRICT_EXACT)
-        & ~contains_any(F.lower(F.trim(title)), V.STRICT_PARTS)
-        & ((F.size(alpha) == 0) | (longest(alpha) >= 4))
-        & ~((F.size(alpha) >= 3) & (F.size(F.filter(alpha, lambda w: F.length(w) <= 2)) >= 2))
-    )
-    return F.array_contains(kinds, "vollversion-fullversion") | strict
+
+    def of(f: Column) -> Column:
+        w = f["words"]
+        strict = (
+            F.array_contains(f["kinds"], "disc-metadata-value")
+            & ~f["norm"].isin(V.STRICT_EXACT)
+            & ~contains_any(f["low"], V.STRICT_PARTS)
+            & ((w["alpha"] == 0) | (w["long"] > 0))
+            & ~((w["alpha"] >= 3) & (w["short"] >= 2))
+        )
+        return F.array_contains(f["kinds"], "vollversion-fullversion") | strict
+
+    return let(title_features(title, normalized, kinds), of)
 
 
 CONTENT_RULES = [

@@ -42,3 +42,58 @@ def test_altered_notices(spark, docs):
 
 def test_empty(spark, docs):
     assert L.summary(docs([])).collect() == []
+
+
+def brute_scan(text):
+    """Labels and score by loops: all places of a template's 3-word windows, gathered by diagonal."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    labels, score = set(), 0.0
+    for label, phrase, exact in [(*x, True) for x in L.PHRASES] + [(*x, False) for x in L.NOTICES]:
+        t = phrase.split()
+        by = {}
+        for p in range(len(w) - 2):
+            for k in range(len(t) - 2):
+                if w[p : p + 3] == t[k : k + 3]:
+                    by.setdefault(p - k, set()).add(k)
+        clusters = []
+        for diagonal in sorted(by):
+            if clusters and diagonal - clusters[-1][-1] <= L.SLACK:
+                clusters[-1].append(diagonal)
+            else:
+                clusters.append([diagonal])
+        for some in clusters:
+            at = set().union(*(by[x] for x in some))
+            share = min(1.0, len({k + i for k in at for i in range(3)}) / len(t))
+            length = max(x + max(by[x]) + 2 for x in some) - min(x + min(by[x]) for x in some) + 1
+            whole = any(len(by[x]) == len(t) - 2 for x in some)
+            if (exact and whole) or (not exact and share >= L.LEAST and length <= 1.5 * len(t) + L.SLACK):
+                labels.add(label)
+                score = max(score, 1.0 if exact else share)
+    return ",".join(sorted(labels)), score
+
+
+def test_labels_and_scores_against_loops(spark, docs, odd_texts):
+    import random
+
+    r = random.Random(17)
+    notices = [t.split() for _, t in [*L.PHRASES, *L.NOTICES]]
+    rows = list(odd_texts)
+    for k in range(300):
+        words = []
+        for _ in range(r.randint(0, 4)):
+            part = list(r.choice(notices))
+            for _ in range(r.randint(0, 6)):  # words taken out, put in, changed, moved
+                at = r.randrange(len(part)) if part else 0
+                if part and (op := r.randrange(4)) == 0:
+                    del part[at]
+                elif part and op == 1:
+                    part.insert(at, r.choice(["quite", "the", "license", "of"]))
+                elif part and op == 2:
+                    part[at] = r.choice(["other", "under", "mit"])
+                elif part:
+                    part = part[at:] + part[:at]
+            words += part + [r.choice(["and", "so", "x"]) for _ in range(r.randint(0, 8))]
+        rows.append((1000 + k, " ".join(x.upper() if r.random() < 0.1 else x for x in words)))
+    got = Counter((x.doc_id, x.labels, round(x.score, 9)) for x in L.summary(docs(rows).repartition(3)).collect())
+    assert got == Counter((i, brute_scan(t)[0], round(brute_scan(t)[1], 9)) for i, t in rows)
+    assert len({x[1] for x in got}) > 10

@@ -35,6 +35,8 @@ THRESHOLD = 0.3
 ALPHA, L1, EPOCHS = 0.3, 1.5, 5
 CACHE = 200_000
 BIAS = 0
+#: So many different words of a text with the same beginning make a feature of their own.
+SEVERAL = 3
 MINED_VOTERS, COMPANY_VOTERS = 12, 3
 #: Share of its documents, with a margin for chance, that a mined feature needs among labelled ones, a company feature
 #: among those where a lexicon speaks.
@@ -89,7 +91,7 @@ def indices(text: str | None) -> np.ndarray:
     if not words:
         return np.zeros(1, np.int32)
     found, n = np.unique(np.fromiter(chain.from_iterable(map(_words.__getitem__, words)), np.int64), return_counts=True)
-    several = 1 + (found[n > 1] * 2654435761 + 97 >> 5) % (DIMS - 1)
+    several = 1 + (found[n >= SEVERAL] * 2654435761 + 97 >> 5) % (DIMS - 1)
     return np.unique(np.concatenate([[BIAS], found, several])).astype(np.int32)
 
 

@@ -56,36 +56,43 @@ def best_path(length: int, by_start: dict[int, list[tuple[int, float]]]) -> tupl
 
 
 def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, parts) from (token, edges of start, end, weight, known), where the best way is good enough."""
+    """(token, parts) from (length of a token, edges of start, word, weight, known), where the best way is good enough. The
+    words of a way are the whole token."""
     for b in batches:
         tokens, found = [], []
-        for token, edges in zip(b.column("token").to_pylist(), b.column("edges").to_pylist(), strict=True):
+        for length, edges in zip(b.column("length").to_pylist(), b.column("edges"), strict=True):
             by_start: dict[int, list[tuple[int, float]]] = {}
-            known = set()
-            for x in edges:
-                by_start.setdefault(x["start"], []).append((x["end"], x["weight"]))
+            known = {}
+            for x in edges.as_py():  # one token's at a time
+                start, word = x["start"], x["word"]
+                by_start.setdefault(start, []).append((start + len(word), x["weight"]))
                 if x["known"]:
-                    known.add((x["start"], x["end"]))
-            way = best_path(len(token), by_start)
+                    known[start, start + len(word)] = word
+            way = best_path(length, by_start)
             if way and len(way[1]) >= 2 and way[0] >= LEAST_SCORE and all(x in known for x in zip([0, *way[1]], way[1])):
-                tokens.append(token)
-                found.append([token[s:e] for s, e in zip([0, *way[1]], way[1])])
+                found.append([known[x] for x in zip([0, *way[1]], way[1])])
+                tokens.append("".join(found[-1]))
         yield pa.record_batch({"token": pa.array(tokens, pa.string()), "parts": pa.array(found, pa.list_(pa.string()))})
 
 
 def segmentations(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """(token, parts) for the tokens (column token: folded, different) that the vocabulary parts into known words. Tokens
     find their pieces in the vocabulary by a join; the choice of a way is a loop over a token's places, which built-in
-    functions can't say in time that grows with its length only."""
+    functions can't say in time that grows with its length only. A row of the join holds a piece and a key of bounded
+    length, never a long token, and neither join collects a side for a broadcast: rows then stay small at any length of a
+    token, and the driver sees none."""
     w = tokens.select("token").where(F.col("token").rlike("^[a-z]{6,}$"))
-    w = w.join(vocab.where("n >= 3").select(F.col("word").alias("token")), "token", "left_anti")
-    starts = F.sequence(F.lit(0), F.length("token") - SHORTEST)
-    pieces = F.flatten(F.transform(starts, lambda s: F.transform(F.sequence(s + SHORTEST, F.least(F.length("token"), s + LONGEST)), lambda e: F.struct(s.alias("start"), e.alias("end"), F.substring("token", s + 1, e - s).alias("word")))))
-    e = w.select("token", F.explode(pieces).alias("p")).select("token", "p.*")
+    w = w.join(vocab.where("n >= 3").select(F.col("word").alias("token")).hint("merge"), "token", "left_anti")
+    key = F.when(F.length("token") < 64, F.col("token")).otherwise(F.sha2("token", 256))  # 64 digits: no shorter token's
+    windows = F.regexp_extract_all("token", F.lit(f"(?=(.{{{SHORTEST},{LONGEST}}}))"), F.lit(1))  # what begins at each place
+    e = w.select(key.alias("key"), F.length("token").alias("length"), windows.alias("windows"))
+    e = e.select("key", "length", F.posexplode("windows").alias("start", "window"))
+    e = e.select("key", "length", "start", "window", F.explode(F.sequence(F.lit(SHORTEST), F.length("window"))).alias("size"))
+    e = e.select("key", "length", "start", F.substring("window", F.lit(1), F.col("size")).alias("word"))
     known = (F.col("n") >= 2) | F.col("word").isin(V.SMALL_WORDS)
-    e = e.join(vocab, "word").select("token", F.struct("start", "end", (F.ln(F.col("n") + 1.0) - COST).alias("weight"), known.alias("known")).alias("e"))
-    g = e.groupBy("token").agg(F.collect_list("e").alias("edges"))  # at most 19 for each letter of one token
-    return g.mapInArrow(parted, "token string, parts array<string>")
+    e = e.join(vocab.hint("merge"), "word").select("key", "length", F.struct("start", "word", (F.ln(F.col("n") + 1.0) - COST).alias("weight"), known.alias("known")).alias("e"))
+    g = e.groupBy("key", "length").agg(F.collect_list("e").alias("edges"))  # at most 19 for each letter of one token
+    return g.select("length", "edges").mapInArrow(parted, "token string, parts array<string>")
 
 
 def recased(part: Column, original: Column) -> Column:

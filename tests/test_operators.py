@@ -1,5 +1,6 @@
 import json
 import random
+import re
 from difflib import SequenceMatcher
 from math import log
 
@@ -80,6 +81,17 @@ def test_segmentation(spark):
     assert got and "".join(got[0].parts) == long and got[0].parts[:4] == ["war", "age", "war", "age"]
 
 
+def test_segmentation_keeps_rows_small_and_broadcasts_nothing(spark):
+    """Long tokens, alike but for their ends, are parted whole; no side of a join is collected, no row repeats a token."""
+    vocab = segment.vocabulary(segment.words(spark.createDataFrame([("war age war age speed speed",)], "t string"), "t"))
+    tokens = ["warage" * 10_000 + end for end in ("", "war", "speed")] + ["waragespeed", "w" * 63 + "war"]
+    df = segment.segmentations(spark.createDataFrame([(t,) for t in tokens], "token string"), vocab)
+    got = {r.token: r.parts for r in df.collect()}
+    assert got == {t: re.findall("war|age|speed", t) for t in tokens[:4]}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_words_are_those_of_the_parted_title(spark):
     """words() counts runs of letters first; split_camel and normalize_spaces on whole titles give the same words."""
     from stemma.functions.text import normalize_spaces, split_camel

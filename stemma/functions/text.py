@@ -210,11 +210,13 @@ def unescaped(c: Column) -> Column:
 USUAL = {n: NAMED[n] for n in ("amp;", "nbsp;", "lt;", "gt;", "quot;", "auml;", "ouml;", "uuml;", "szlig;", "copy;", "middot;", "apos;", "eacute;", "ndash;", "mdash;", "hellip;")}
 
 
-def html_text(c: Column) -> Column:
-    """Markup to lines of text: breaks and blocks as line ends, other tags as blanks, character references resolved."""
+def html_text(c: Column, references: list[tuple[str, str]] | None = None) -> Column:
+    """Markup to lines of text: breaks and blocks as line ends, other tags as blanks, character references resolved: all, as
+    browsers do, or only these, one after another."""
     for p, by in V.MARKUP:
         c = F.regexp_replace(c, p, by)
-    return F.regexp_replace(F.replace(unescaped(c), F.lit("\r"), F.lit("\n")), r"\n{3,}", "\n\n")
+    c = unescaped(c) if references is None else reduce(lambda x, r: F.replace(x, F.lit(r[0]), F.lit(r[1])), references, c)
+    return F.regexp_replace(F.replace(c, F.lit("\r"), F.lit("\n")), r"\n{3,}", "\n\n")
 
 
 def list_items(c: Column) -> Column:

@@ -38,6 +38,20 @@ def test_query(spark, duck, name):
     assert got == rows_of(columns, r.fetchall())
 
 
+#: References without a semicolon, cut, nested, numbered and unknown ones; markup over line ends; no text.
+PAGES = ["<title>a&amp;b&amp</title><p>x &copy 2020 &amp;lt; &lt;b&gt;</p>", "<p>&#39;t &#39 &#38; &uuml; &ampx; &notit; &nbsp;&nbsp</p>\r\n\n\n<div\nid=1>&quot;y&quot</div>", "&", "", None, "<P>Demo: 1 &lt 2<BR/>z &middot; z</P><p>Inhalt &amp</p>"]
+
+
+@pytest.mark.parametrize("name", ["html_text"])
+def test_references_as_in_the_sql(spark, tmp_path, name):
+    spark.createDataFrame(list(enumerate(PAGES)), "page_id bigint, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    df = catalogue.QUERIES[name](spark, str(tmp_path))
+    r = con.execute(catalogue.ORACLE_SQL[name])
+    assert rows_of(df.columns, df.collect()) == rows_of([c[0] for c in r.description], r.fetchall())
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

@@ -101,15 +101,21 @@ def strip_suffixes(c: Column) -> Column:
 
         return let(two, after)
 
-    c = F.coalesce(c, F.lit(""))
-    start = F.struct(c.alias("text"), F.lit(False).alias("descriptor"), F.lit(False).alias("version"), F.lit(True).alias("changed"))
-    end = F.aggregate(F.sequence(F.lit(0), F.length(c)), start, lambda s, _: F.when(s["changed"], step(s)).otherwise(s))
-    return let(end, lambda s: F.struct(s["text"].alias("text"), s["descriptor"].alias("descriptor"), s["version"].alias("version")))
+    def loop(c: Column) -> Column:
+        start = F.struct(c.alias("text"), F.lit(False).alias("descriptor"), F.lit(False).alias("version"), F.lit(True).alias("changed"))
+        end = F.aggregate(F.sequence(F.lit(0), F.length(c)), start, lambda s, _: F.when(s["changed"], step(s)).otherwise(s))
+        return let(end, lambda s: F.struct(s["text"].alias("text"), s["descriptor"].alias("descriptor"), s["version"].alias("version")))
+
+    # One look tells most titles from those that a pass could change.
+    some = alternation(V.DESCRIPTOR_SUFFIXES + V.VERSION_SUFFIXES)
+    same = lambda c: F.struct(normalize_spaces(c).alias("text"), F.lit(False).alias("descriptor"), F.lit(False).alias("version"))
+    return let(F.coalesce(c, F.lit("")), lambda c: F.when((F.trim(c) == c) & ~c.rlike(f"(?i){some}"), same(c)).otherwise(loop(c)))
 
 
 def repair_tokens(c: Column) -> Column:
     """The fixed repairs of glued words, one after another."""
-    return normalize_spaces(reduce(lambda x, p: F.regexp_replace(x, rf"\b{p[0]}\b", p[1]), V.TOKEN_REPAIRS, c))
+    repaired = reduce(lambda x, p: F.regexp_replace(x, rf"\b{p[0]}\b", p[1]), V.TOKEN_REPAIRS, c)
+    return normalize_spaces(F.when(c.rlike(alternation(rf"\b{p[0]}\b" for p in V.TOKEN_REPAIRS)), repaired).otherwise(c))
 
 
 def stem(c: Column) -> Column:
@@ -131,8 +137,8 @@ def normalized_title(c: Column) -> Column:
     t = F.trim(F.lower(F.regexp_replace(title_fragment(c), "[^A-Za-z0-9]+", " ")))
     t = F.regexp_replace(t, r"(?<=[a-z])\s+(?=\d{2,4}\b)", "")
     t = F.regexp_replace(t, r"(?<=\d)\s+(?=[a-z]\b)", "")
-    generic = F.array(*[F.lit(w) for w in dict.fromkeys(V.GENERIC_SEGMENTS + V.GENERIC_WORDS_MORE)])
-    words = F.filter(F.split(t, r"\s+"), lambda w: (w != "") & ~F.array_contains(generic, w))
+    generic = list(dict.fromkeys(V.GENERIC_SEGMENTS + V.GENERIC_WORDS_MORE))
+    words = F.filter(F.split(t, r"\s+"), lambda w: (w != "") & ~w.isin(generic))
     return let(words, lambda w: F.when(F.length(F.array_join(w, "")) >= 3, F.array_join(w, " ")))
 
 

@@ -16,11 +16,14 @@ def title_repairs(spark) -> DataFrame:
     return spark.createDataFrame(list(V.TITLE_REPAIRS.items()), "normalized_title string, repaired string")
 
 
-def repair_titles(rows: DataFrame) -> DataFrame:
-    """Damaged titles replaced by the fixed repairs (a table of under 100 rows), normalized titles made anew."""
+def repair_titles(rows: DataFrame, again: bool = False) -> DataFrame:
+    """Damaged titles replaced by the fixed repairs (a table of under 100 rows), normalized titles made anew; again: rows come
+    from here, so only repaired titles have another normalized one."""
     fix = F.broadcast(title_repairs(rows.sparkSession).withColumnRenamed("repaired", "__fix"))
-    out = rows.join(fix, "normalized_title", "left").withColumn("representative_title", F.coalesce("__fix", "representative_title")).drop("__fix")
-    return out.withColumn("normalized_title", F.coalesce(normalized_title(F.col("representative_title")), F.col("normalized_title"))).select(*rows.columns)
+    out = rows.join(fix, "normalized_title", "left").withColumn("representative_title", F.coalesce("__fix", "representative_title"))
+    anew = F.coalesce(normalized_title(F.col("representative_title")), F.col("normalized_title"))
+    anew = F.when(F.col("__fix").isNotNull(), anew).otherwise(F.col("normalized_title")) if again else anew
+    return out.withColumn("normalized_title", anew).select(*rows.columns)
 
 
 def with_reason(rows: DataFrame) -> DataFrame:

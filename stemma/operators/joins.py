@@ -24,8 +24,10 @@ def rejection_reasons(df: DataFrame, rejections: DataFrame, row_key: str, title:
 def trailing_zero(df: DataFrame, key: str) -> DataFrame:
     """key without a last 0 where the shorter key exists too; the keys are those before any merge."""
     ids = df.select(F.col(key).alias("__short")).distinct()
-    cut = F.when(F.col(key).endswith("0"), F.substring(key, F.lit(1), F.length(key) - 1))
-    out = df.withColumn("__cut", cut).join(ids, F.col("__cut") == F.col("__short"), "left")
+    zero = F.col(key).endswith("0")
+    # Rows without a zero go by their own key: as nulls they would all meet in one task.
+    cut = F.when(zero, F.substring(key, F.lit(1), F.length(key) - 1)).otherwise(F.col(key))
+    out = df.withColumn("__cut", cut).join(ids, (F.col("__cut") == F.col("__short")) & zero, "left")
     return out.withColumn("merged", F.col("__short").isNotNull()).withColumn(key, F.coalesce("__short", key)).drop("__cut", "__short")
 
 

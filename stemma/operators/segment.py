@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.fold import ascii_fold
 from ..functions.text import ODD, PLAIN, normalize_spaces
+from ..session import materialised
 
 LETTERS = "A-Za-zÀ-ÿ'"
 STOP_BONUS, BOOST_BONUS = 200, 25
@@ -34,8 +35,9 @@ def vocabulary(counted: DataFrame) -> DataFrame:
 
 
 def hinted(folded: Column) -> Column:
-    inner = F.substring(folded, F.lit(2), F.greatest(F.length(folded) - 2, F.lit(0)))
-    return F.exists(F.array(*[F.lit(h) for h in V.SEGMENT_HINTS]), lambda h: inner.contains(h))
+    """Whether a hint stands within the word, a character or more from either end. One pattern: a function called for each
+    hint would fold the word as often."""
+    return folded.rlike(f"(?s).(?:{'|'.join(V.SEGMENT_HINTS)}).")
 
 
 def best_path(length: int, by_start: dict[int, list[tuple[int, float]]]) -> tuple[float, list[int]] | None:
@@ -107,11 +109,14 @@ def repair_compounds(df: DataFrame, column: str, vocab: DataFrame) -> DataFrame:
     different hinted tokens, are looked at; they come back to the rows by the title, so repeated rows are no matter."""
     titles = df.select(F.col(column).alias("__title")).distinct()
     words = titles.select("__title", F.posexplode(F.split(F.trim("__title"), r"\s+")).alias("place", "token"))
-    words = words.withColumn("bare", F.regexp_replace("token", f"[^{LETTERS}]", "")).withColumn("folded", F.lower(ascii_fold(F.col("bare"))))
-    some = words.where((F.col("bare") != "") & hinted(F.col("folded")) & ~F.col("folded").isin("wii", "xfire"))
+    # Cut here, or the filter would be pushed below the distinct and fold every word of every title.
+    tokens = materialised(words.select("token").distinct()).withColumn("bare", F.regexp_replace("token", f"[^{LETTERS}]", ""))
+    tokens = materialised(tokens.withColumn("folded", F.lower(ascii_fold(F.col("bare")))))
+    some = tokens.where((F.col("bare") != "") & hinted(F.col("folded")) & ~F.col("folded").isin("wii", "xfire"))
     seg = segmentations(some.select(F.col("folded").alias("token")).distinct(), vocab).select(F.col("token").alias("folded"), "parts")
     new = some.join(seg, "folded").withColumn("rebuilt", F.array_join(F.transform("parts", lambda p: recased(p, F.col("token"))), " "))
-    new = new.select("__title", "place", F.replace("token", F.col("bare"), F.col("rebuilt")).alias("rebuilt"))
+    new = new.select("token", F.replace("token", F.col("bare"), F.col("rebuilt")).alias("rebuilt"))
+    new = words.join(materialised(new), "token").select("__title", "place", "rebuilt")
     changes = new.groupBy("__title").agg(F.map_from_entries(F.collect_list(F.struct("place", "rebuilt"))).alias("__new"))
     parts = F.transform(F.split(F.trim("__title"), r"\s+"), lambda t, i: F.coalesce(F.try_element_at(F.col("__new"), i), t))
     fixed = changes.select("__title", normalize_spaces(F.array_join(parts, " ")).alias("__fixed"))

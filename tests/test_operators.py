@@ -114,6 +114,27 @@ def test_compounds_of_repeated_titles(spark):
     assert got == [(0, "Lord of War 2", True), (1, "Lord of War 2", True), (2, "plain", False), (3, "", False), (4, "two blanks", False)]
 
 
+def test_hints_and_words_are_looked_at_once(spark):
+    """A word is folded once, not for each hint; the hints stay the same, and so do the parted titles."""
+    df = spark.createDataFrame([(w,) for h in V.SEGMENT_HINTS for w in (h, f"x{h}", f"{h}x", f"x{h}x", f"xx{h}\ny", f"é{h}é")] + [("",), ("x",), (None,)], "w string")
+    plan = df.where(segment.hinted(F.lower(segment.ascii_fold(F.col("w")))))
+    got = {r.w for r in plan.collect()}
+    assert got == {r.w for r in df.collect() if r.w and any(h in r.w[1:-1] for h in V.SEGMENT_HINTS)}
+    assert "exists(" not in plan._jdf.queryExecution().executedPlan().toString()
+    vocab = segment.vocabulary(segment.words(spark.createDataFrame([("Lord of War",)] * 4, "t string"), "t"))
+    titles = spark.createDataFrame([(f"Lordofwar {i}",) for i in range(50)], "t string")
+    out = segment.repair_compounds(titles, "t", vocab)
+    assert {r.t for r in out.collect()} == {f"Lord of War {i}" for i in range(50)}
+
+
+def test_trailing_zero_deals_rows_by_key(spark):
+    """Rows without a zero have no common join key."""
+    df = spark.createDataFrame([("a",), ("a0",), ("b0",), ("c",), ("0",), ("",), (None,)], "k string")
+    out = joins.trailing_zero(df, "k")
+    assert sorted((r.k or "", r.merged) for r in out.collect()) == [("", False), ("", False), ("", True), ("a", False), ("a", True), ("b0", False), ("c", False)]
+    assert "ELSE k#" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_sections(spark):
     def titles(text, kind="archiveorg-ocr"):
         df = spark.createDataFrame([(1, kind, "p", "high", text)], "i int, source_kind string, source_path string, confidence string, text string")

@@ -982,6 +982,9 @@ VERSION_SUFFIXES = [
     r"\bv$",
 ]
 
+#: What a title without a digit ends with if one of these patterns fits.
+SUFFIX_LOOK = r"(?i)(?:\)|version|bonus|extras?|demo|v)$"
+
 #: What is taken from the end of a title to make its key, in this order.
 KEY_TAILS = [
     r"\b(?:full\s*version|vollversion|bonus|extras?)\b$",
@@ -991,6 +994,8 @@ KEY_TAILS = [
     r"\bv\s*[0-9][0-9a-z ]*$",
     r"\bv$",
 ]
+#: What a title without a digit ends with if one of these patterns fits.
+KEY_LOOK = r"(?:version|bonus|extras?|demo|v)$"
 #: Versions at the end of a title that is looked up.
 VERSION_TAILS = [
     r"(?i)\s+v(?:ersion)?\s*\d+(?:[\s._-]*\d+)*(?:[a-z])?$",

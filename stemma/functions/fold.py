@@ -42,12 +42,12 @@ def rule() -> dict[str, str]:
 
 @lru_cache(1)
 def latin() -> tuple[str, str, str]:
-    """Of the Latin blocks: the characters that fold to one other, what they fold to, and a class of all characters that
-    these and the dropping of marks don't fold rightly."""
+    """Of the Latin blocks: the characters that fold to one other, what they fold to, and a pattern of the texts that
+    these and the dropping of marks fold rightly (runs of ASCII are passed at once)."""
     some = [chr(i) for a, b in LATIN for i in range(a, b)]
     one = [c for c in some if len(rule().get(c, "")) == 1]
     simple = [ord(c) for c in some if c not in rule() or c in one or c in "ßẞ" or 0x300 <= ord(c) < 0x370]
-    return "".join(one), "".join(rule()[c] for c in one), char_class(simple, negated=True)
+    return "".join(one), "".join(rule()[c] for c in one), rf"^(?:[\x00-\x7F]++|{char_class(simple)})*+\z"
 
 
 @lru_cache(1)
@@ -82,7 +82,7 @@ def any_script(c: Column) -> Column:
 def ascii_fold(c: Column) -> Column:
     """The folded text; null is the empty text."""
     c = F.coalesce(c, F.lit(""))
-    from_, to, rest = latin()
+    from_, to, all_simple = latin()
     plain = F.translate(F.replace(F.replace(c, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("SS")), from_, to)
     ascii_ = F.octet_length(c) == F.length(c)
-    return F.when(ascii_, c).when(c.rlike(rest), any_script(c)).otherwise(F.regexp_replace(plain, "[\\u0300-\\u036F]+", ""))
+    return F.when(ascii_, c).when(~c.rlike(all_simple), any_script(c)).otherwise(F.regexp_replace(plain, "[\\u0300-\\u036F]+", ""))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -100,6 +102,19 @@ def title_reason(title: Column, normalized: Column, kinds: Column) -> Column:
     return let(title_features(title, normalized, kinds), reason_of)
 
 
+FULL_VERSION, DISC_VALUE = "vollversion-fullversion", "disc-metadata-value"
+
+
+def may_be_published(kinds: Column) -> Column:
+    """Whether kinds allow it at all, whatever the title."""
+    return F.arrays_overlap(F.split(safe(kinds), ","), F.array(F.lit(FULL_VERSION), F.lit(DISC_VALUE)))
+
+
+def always_published(kinds: Column) -> Column:
+    """Whether kinds alone keep and publish a candidate: the first rule of reason_of and of publishable."""
+    return F.array_contains(F.split(safe(kinds), ","), FULL_VERSION)
+
+
 def publishable(title: Column, normalized: Column, kinds: Column) -> Column:
     """Whether a cleaned candidate may be published."""
 
@@ -129,10 +144,30 @@ NOT_GAMES = ["utility", "editor_sdk", "guide_media", "disc_noise"]
 
 def content_class(title: Column) -> Column:
     """What a title names; one alternation for each class, in order."""
-    t = public_title(title)
-    rules = [("disc_noise", t.isin(V.NOISE_TITLES))] + [(name, t.rlike(alternation(p))) for name, p in CONTENT_RULES]
-    rules.append(("mod_or_conversion", t.rlike(alternation(V.MOD_PATTERNS)) & ~t.contains("mod kit") & ~t.contains("mod sdk")))
-    return first_match(rules, "game")
+    return class_of(public_title(title))
+
+
+def class_of(public: Column) -> Column:
+    """content_class of a title in its public form, which is computed once: each rule looks at it."""
+
+    def of(t: Column) -> Column:
+        rules = [("disc_noise", t.isin(V.NOISE_TITLES))] + [(name, t.rlike(alternation(p))) for name, p in CONTENT_RULES]
+        rules.append(("mod_or_conversion", t.rlike(alternation(V.MOD_PATTERNS)) & ~t.contains("mod kit") & ~t.contains("mod sdk")))
+        return first_match(rules, "game")
+
+    return let(public, of)
+
+
+def class_named(public: Column) -> Column:
+    """Whether a rule of class_of but for whole titles could fit. One automaton over Arrow batches looks for all patterns at
+    once; tried one after another at each place of a title, they take longer than all other functions together."""
+    some = alternation(p for patterns in [*(p for _, p in CONTENT_RULES), V.MOD_PATTERNS] for p in patterns)
+
+    @F.arrow_udf("boolean")
+    def of(titles: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(titles, some)
+
+    return of(public)
 
 
 def content_form(kind: Column, klass: Column) -> Column:

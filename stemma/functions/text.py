@@ -13,6 +13,12 @@ from .fold import ascii_fold
 
 #: Typographic dashes, quotes and the no-break space, and what they become.
 ODD, PLAIN = "‐‑‒–—―‘’“” ", "------''\"\" "
+#: So many characters from the end hold any descriptor without a number, with a line end behind it.
+LOOK = 24
+#: Texts that normalize_spaces leaves alone: usual words in single blanks or hyphens between blanks.
+LETTER = r"A-Za-z0-9À-ÖØ-öø-ÿ'\"().&"
+WORD = f"[{LETTER}][{LETTER},;:!?]*+"
+NORMAL = rf"^{WORD}(?: (?:- )?{WORD})*+\z"
 
 
 def let(value: Column, body) -> Column:
@@ -44,10 +50,14 @@ def strip_chars(c: Column, chars: str) -> Column:
 
 def normalize_spaces(c: Column) -> Column:
     """Plain dashes, quotes and single blanks; none before punctuation; hyphens between blanks; no fringe of ' -_/'."""
-    c = squeezed(F.translate(F.coalesce(c, F.lit("")), ODD, PLAIN))
-    c = F.regexp_replace(c, r"\s+([,;:!?])", "$1")
-    c = F.regexp_replace(c, r"\s*-\s*", " - ")
-    return strip_chars(F.regexp_replace(c, r"\s+", " "), " -_/")
+
+    def full(c: Column) -> Column:
+        c = squeezed(F.translate(c, ODD, PLAIN))
+        c = F.regexp_replace(c, r"\s+([,;:!?])", "$1")
+        c = F.regexp_replace(c, r"\s*-\s*", " - ")
+        return strip_chars(F.regexp_replace(c, r"\s+", " "), " -_/")
+
+    return let(F.coalesce(c, F.lit("")), lambda c: F.when(c.rlike(NORMAL), c).otherwise(full(c)))
 
 
 def letters_and_digits(c: Column, glue: str) -> Column:
@@ -65,8 +75,14 @@ def slug(c: Column) -> Column:
 
 def cluster_key(c: Column) -> Column:
     """The key that spellings of a title share: its public form without one trailing descriptor of each sort, no blanks."""
-    c = reduce(lambda x, p: F.trim(F.regexp_replace(x, p, "")), V.KEY_TAILS, public_title(c))
-    return F.regexp_replace(c, r"\s+", "")
+    return key_of(public_title(c))
+
+
+def key_of(public: Column) -> Column:
+    """cluster_key of a title in its public form."""
+    short = lambda c: reduce(lambda x, p: F.trim(F.regexp_replace(x, p, "")), V.KEY_TAILS, c)
+    # One look tells most titles from those that have a descriptor.
+    return F.replace(let(public, lambda c: F.when(c.rlike("[0-9]") | F.right(c, F.lit(LOOK)).rlike(V.KEY_LOOK), short(c)).otherwise(c)), F.lit(" "), F.lit(""))
 
 
 def split_camel(c: Column) -> Column:
@@ -107,36 +123,38 @@ def strip_suffixes(c: Column) -> Column:
         return let(end, lambda s: F.struct(s["text"].alias("text"), s["descriptor"].alias("descriptor"), s["version"].alias("version")))
 
     # One look tells most titles from those that a pass could change.
-    some = alternation(V.DESCRIPTOR_SUFFIXES + V.VERSION_SUFFIXES)
+    some = lambda c: (c.rlike("[0-9]") | F.right(c, F.lit(LOOK)).rlike(V.SUFFIX_LOOK)) & c.rlike(f"(?i){alternation(V.DESCRIPTOR_SUFFIXES + V.VERSION_SUFFIXES)}")
     same = lambda c: F.struct(normalize_spaces(c).alias("text"), F.lit(False).alias("descriptor"), F.lit(False).alias("version"))
-    return let(F.coalesce(c, F.lit("")), lambda c: F.when((F.trim(c) == c) & ~c.rlike(f"(?i){some}"), same(c)).otherwise(loop(c)))
+    return let(F.coalesce(c, F.lit("")), lambda c: F.when((F.trim(c) == c) & ~some(c), same(c)).otherwise(loop(c)))
 
 
 def repair_tokens(c: Column) -> Column:
     """The fixed repairs of glued words, one after another."""
     repaired = reduce(lambda x, p: F.regexp_replace(x, rf"\b{p[0]}\b", p[1]), V.TOKEN_REPAIRS, c)
-    return normalize_spaces(F.when(c.rlike(alternation(rf"\b{p[0]}\b" for p in V.TOKEN_REPAIRS)), repaired).otherwise(c))
+    # All of them are plain words, which are found faster than a pattern with their borders.
+    return normalize_spaces(F.when(contains_any(c, [p[0] for p in V.TOKEN_REPAIRS]), repaired).otherwise(c))
 
 
 def stem(c: Column) -> Column:
     """The last path part without its last suffix; a dot at either end is no suffix."""
     name = F.element_at(F.split(F.regexp_replace(F.coalesce(c, F.lit("")), "/+$", ""), "/"), -1)
-    return let(name, lambda n: F.when(n.rlike(r"^.+\.[^.]+$"), F.regexp_replace(n, r"\.[^.]*$", "")).otherwise(n))
+    return let(name, lambda n: F.when(n.contains(".") & n.rlike(r"^.+\.[^.]+$"), F.regexp_replace(n, r"\.[^.]*$", "")).otherwise(n))
 
 
 def title_fragment(c: Column) -> Column:
     """A title made from a file name: separators and camel case as blanks, no trailing word of the trade."""
     t = F.regexp_replace(stem(c), r"[_\-.]+", " ")
     t = F.regexp_replace(t, "(?<=[a-z0-9])(?=[A-Z])", " ")
-    t = F.regexp_replace(t, "(?i)(demo|setup|install|launcher|autorun|uninstall|patch)$", "")
+    trade = "(?i)(demo|setup|install|launcher|autorun|uninstall|patch)$"
+    t = let(t, lambda t: F.when(F.right(t, F.lit(LOOK)).rlike(trade), F.regexp_replace(t, trade, "")).otherwise(t))
     return strip_chars(F.regexp_replace(t, r"\s+", " "), " '\"-_.,:/\\")
 
 
 def normalized_title(c: Column) -> Column:
     """Lower-case words without the generic ones; null if fewer than three characters stay."""
     t = F.trim(F.lower(F.regexp_replace(title_fragment(c), "[^A-Za-z0-9]+", " ")))
-    t = F.regexp_replace(t, r"(?<=[a-z])\s+(?=\d{2,4}\b)", "")
-    t = F.regexp_replace(t, r"(?<=\d)\s+(?=[a-z]\b)", "")
+    glued = lambda t: F.regexp_replace(F.regexp_replace(t, r"(?<=[a-z])\s+(?=\d{2,4}\b)", ""), r"(?<=\d)\s+(?=[a-z]\b)", "")
+    t = let(t, lambda t: F.when(t.rlike("[0-9]"), glued(t)).otherwise(t))
     generic = list(dict.fromkeys(V.GENERIC_SEGMENTS + V.GENERIC_WORDS_MORE))
     words = F.filter(F.split(t, r"\s+"), lambda w: (w != "") & ~w.isin(generic))
     return let(words, lambda w: F.when(F.length(F.array_join(w, "")) >= 3, F.array_join(w, " ")))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import joined, safe
 from .dedupe import last_wins
 
-def rejection_reasons(df: DataFrame, rejections: DataFrame, row_key: str, title: Column, slug: Column, source: Column) -> DataFrame:
-    """df with rejection_notes: reasons of the rejections under the same normalized_title whose candidate is the row's title
+def rejection_hits(df: DataFrame, rejections: DataFrame, row_key: str, title: Column, slug: Column, source: Column) -> DataFrame:
+    """(row_key, __all) for the rows of df that have some: reasons of the rejections under the same normalized_title whose candidate is the row's title
     or slug and whose source, if both have one, is part of the row's. rejections: normalized_title, rejected, source,
     reason, ordinal. row_key identifies df's rows."""
     r = rejections.select(F.col("normalized_title").alias("__n"), F.lower("rejected").alias("__r"), F.lower("source").alias("__s"), safe(F.col("reason")).alias("__why"), F.col("ordinal").alias("__o"))
@@ -17,7 +17,12 @@ def rejection_reasons(df: DataFrame, rejections: DataFrame, row_key: str, title:
     fits = (safe(F.col("__s")) == "") | (src == "") | src.contains(F.col("__s"))
     same = (F.col("__r") != "") & ((F.col("__r") == F.lower(safe(title))) | (F.col("__r") == F.lower(safe(slug))))
     why = F.when(F.col("__why") == "", "manual rejection").otherwise(F.col("__why"))
-    hit = df.join(r, (F.col("normalized_title") == F.col("__n")) & fits & same).groupBy(row_key).agg(F.transform(F.array_sort(F.collect_list(F.struct("__o", why.alias("w")))), lambda x: x["w"]).alias("__all"))
+    return df.join(r, (F.col("normalized_title") == F.col("__n")) & fits & same).groupBy(row_key).agg(F.transform(F.array_sort(F.collect_list(F.struct("__o", why.alias("w")))), lambda x: x["w"]).alias("__all"))
+
+
+def rejection_reasons(df: DataFrame, rejections: DataFrame, row_key: str, title: Column, slug: Column, source: Column) -> DataFrame:
+    """df with rejection_notes: the reasons that rejection_hits finds, joined."""
+    hit = rejection_hits(df, rejections, row_key, title, slug, source)
     return df.join(hit, row_key, "left").withColumn("rejection_notes", F.coalesce(joined(F.col("__all")), F.lit(""))).drop("__all")
 
 

@@ -40,6 +40,12 @@ def hinted(folded: Column) -> Column:
     return folded.rlike(f"(?s).(?:{'|'.join(V.SEGMENT_HINTS)}).")
 
 
+def changeable(token: Column) -> Column:
+    """Whether a token could be parted, by its length and letters as they stand: a hint within it, or what folding changes."""
+    ascii_ = F.octet_length(token) == F.length(token)
+    return ~ascii_ | (F.length(token) >= 6) & (token.rlike(r"[^A-Za-z]") | hinted(F.lower(token)))
+
+
 def best_path(length: int, by_start: dict[int, list[tuple[int, float]]]) -> tuple[float, list[int]] | None:
     """Score and ends of the best way over edges (start -> [(end, weight)]) from 0 to length. Built from the right: at each
     place the best edge and where it leads; equal scores go to the shorter first part. Scores are rounded to nine places,
@@ -105,10 +111,10 @@ def recased(part: Column, original: Column) -> Column:
 
 
 def repair_compounds(df: DataFrame, column: str, vocab: DataFrame) -> DataFrame:
-    """df with column's glued words parted and split_any telling whether any was. Only different titles, and of these only
-    different hinted tokens, are looked at; they come back to the rows by the title, so repeated rows are no matter."""
-    titles = df.select(F.col(column).alias("__title")).distinct()
-    words = titles.select("__title", F.posexplode(F.split(F.trim("__title"), r"\s+")).alias("place", "token"))
+    """df with column's glued words parted and split_any telling whether any was. Only different tokens, and of
+    these only hinted ones, are looked at; they come back to the rows by the title, so repeated rows are no matter."""
+    titles = df.select(F.col(column).alias("__title"))
+    words = titles.select("__title", F.posexplode(F.split(F.trim("__title"), r"\s+")).alias("place", "token")).where(changeable(F.col("token")))
     # Cut here, or the filter would be pushed below the distinct and fold every word of every title.
     tokens = materialised(words.select("token").distinct()).withColumn("bare", F.regexp_replace("token", f"[^{LETTERS}]", ""))
     tokens = materialised(tokens.withColumn("folded", F.lower(ascii_fold(F.col("bare")))))
@@ -117,7 +123,7 @@ def repair_compounds(df: DataFrame, column: str, vocab: DataFrame) -> DataFrame:
     new = some.join(seg, "folded").withColumn("rebuilt", F.array_join(F.transform("parts", lambda p: recased(p, F.col("token"))), " "))
     new = new.select("token", F.replace("token", F.col("bare"), F.col("rebuilt")).alias("rebuilt"))
     new = words.join(materialised(new), "token").select("__title", "place", "rebuilt")
-    changes = new.groupBy("__title").agg(F.map_from_entries(F.collect_list(F.struct("place", "rebuilt"))).alias("__new"))
+    changes = new.groupBy("__title").agg(F.map_from_entries(F.collect_set(F.struct("place", "rebuilt"))).alias("__new"))
     parts = F.transform(F.split(F.trim("__title"), r"\s+"), lambda t, i: F.coalesce(F.try_element_at(F.col("__new"), i), t))
     fixed = changes.select("__title", normalize_spaces(F.array_join(parts, " ")).alias("__fixed"))
     out = df.join(fixed, F.col(column) == F.col("__title"), "left").withColumn("split_any", F.col("__fixed").isNotNull())

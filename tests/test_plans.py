@@ -321,3 +321,30 @@ def test_cache_and_pages(spark):
     assert q.select(extract.issue_queries(F.col("c"), F.col("y"), F.col("v"), "M")).first()[0] == ['"M" "CBS0111Gold"', '"M" "01/2011"', '"M" "01/11"', '"M" "01/11" "Gold"']
     f = spark.createDataFrame([("a/b.ini", 10, None), ("a/b/c/d.ini", 10, None), ("x.exe", 1, None), ("y.txt", 1 << 20, None)], "path string, length bigint, is_link boolean")
     assert [r.path for r in extract.metadata_files(f).collect()] == ["a/b.ini"]
+
+
+def test_published_games_alone(spark):
+    """The master table by itself is that of the whole plan; titles that are never published are not looked at."""
+    def row(title, kinds="vollversion-fullversion", issue="CBS0101"):
+        return dict.fromkeys(S.ISSUE_TITLES, "x") | {"issue_code": issue, "year": "2001", "representative_title": title, "normalized_title": title.lower(), "source_kinds": kinds, "confidence": "high", "content_kind": "demo"}
+
+    titles = ["Lordofwar Demo", "Lord of War", "Lord of War v 1.0", "Prim r", "Map Editor", "Skype", "Ageof Wonders", "Héros – der Insel", "Werbung", "Zoo", "Zoo0", "x"]
+    rows = [row(t, k, i) for t in titles for k in ("vollversion-fullversion", "disc-metadata-value", "disc-manifest-path") for i in ("CBS0101", "CBS0202")]
+    baseline = frame(spark, ["normalized_title", *V.MATCH_FIELDS], [dict.fromkeys(V.MATCH_FIELDS, "") | {"normalized_title": "zoo", "match_status": "matched", "canonical_title": "Zoo Park"}])
+    rejected = frame(spark, S.REJECTIONS, [{"normalized_title": "zoo", "rejected_candidate": "Zoo Park", "source": "", "reason": "another"}])
+    args = (frame(spark, S.ISSUE_TITLES, rows), baseline, frame(spark, S.OVERRIDES, []), rejected)
+    alone, whole = publish.published_master(*args), publish.publish(*args)["publishable_master_games"]
+    assert alone.columns == whole.columns and alone.count() >= 4
+    assert alone.exceptAll(whole).count() == whole.exceptAll(alone).count() == 0
+
+
+def test_class_folds_a_title_once(spark):
+    """Each rule looks at the same folded title; the look at all rules at once agrees with them."""
+    from stemma.functions import rules as R
+
+    df = spark.createDataFrame([(t,) for t in ("Map Editor", "Skype 3", "Héros Mod", "Cheats", "Werbung", "a", "Mod Kit", "Backupper", "", None)], "t string")
+    plan = df.select(R.content_class(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    once = df.select(R.public_title(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("octet_length") == once.count("octet_length")
+    got = df.select(R.content_class(F.col("t")).alias("c"), R.class_named(R.public_title(F.col("t"))).alias("some"), R.public_title(F.col("t")).isin(V.NOISE_TITLES).alias("noise")).collect()
+    assert all((r.c != "game") <= (r.some or r.noise) for r in got) and {r.some for r in got} == {True, False}
